@@ -12,12 +12,23 @@ INTEGER_PATTERN = r"^[+-]?\d+$"
 BAD_NUMBER_REASON = "could not convert string to float: '%s'"
 BAD_INTEGER_REASON = "invalid literal for int() with base 10: '%s'"
 
+# The characters a trim removes.
+WHITESPACE = (
+    " \t\n\r\u000b\u000c\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004"
+    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def strip(column: Column) -> Column:
+    """Remove leading and trailing whitespace of any kind."""
+    return F.btrim(column, F.lit(WHITESPACE))
+
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Trim every string column and leave the others as they are."""
     return df.select(
         *[
-            F.trim(F.col(f"`{f.name}`")).alias(f.name)
+            strip(F.col(f"`{f.name}`")).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields
@@ -26,12 +37,17 @@ def trim_strings(df: DataFrame) -> DataFrame:
 
 
 def is_blank(column: Column) -> Column:
-    return F.coalesce(F.trim(column), F.lit("")) == ""
+    return F.coalesce(strip(column), F.lit("")) == ""
+
+
+def with_ticker(df: DataFrame, column: str) -> DataFrame:
+    """Rows that have a ticker, one that is neither NULL nor blank."""
+    return df.where(~is_blank(F.col(column)))
 
 
 def amount_text(column: Column) -> Column:
     """An amount without thousands separators and currency signs."""
-    return F.trim(F.regexp_replace(column, "[,$]", ""))
+    return strip(F.regexp_replace(column, "[,$]", ""))
 
 
 def parse_amount(column: Column, numeric: bool = False) -> Column:
@@ -45,7 +61,7 @@ def parse_amount(column: Column, numeric: bool = False) -> Column:
 
 
 def parse_rank(column: Column) -> Column:
-    text = F.trim(column)
+    text = strip(column)
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint"))
 
 
@@ -61,5 +77,5 @@ def nan_to_null(column: Column, kind: str = "double") -> Column:
 
 
 def year_from_file(file_name: Column) -> Column:
-    """The year a file name ends in, as in ``..._2025.csv``."""
-    return F.regexp_extract(file_name, r"_(\d{4})\.[^./]*$", 1).try_cast("int")
+    """The year a file's name ends in, as in ``..._2025.csv``, also for a folder of part files."""
+    return F.regexp_extract(file_name, r"_(\d{4})\.[^./]+(/[^/]*)?$", 1).try_cast("int")

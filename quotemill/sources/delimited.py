@@ -13,7 +13,7 @@ from ..schemas import RANKING_FILE, TICKER_MAP_FILE
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", with_file: bool = False
 ) -> DataFrame:
-    """Read a headed file with a declared schema; ``with_file`` adds the file's name as ``_file``."""
+    """Read a headed file with a declared schema; ``with_file`` adds its path as ``_file``."""
     df = (
         spark.read.schema(schema)
         .option("header", True)
@@ -21,7 +21,7 @@ def read_delimited(
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    return df.withColumn("_file", F.col("_metadata.file_name")) if with_file else df
+    return df.withColumn("_file", F.col("_metadata.file_path")) if with_file else df
 
 
 def read_rankings(spark: SparkSession, path: str) -> DataFrame:
