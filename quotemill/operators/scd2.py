@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import date_key
 
@@ -130,8 +131,10 @@ def store_snapshot(
     if first:
         out = first_snapshot(one_per_key(staged, key, check, on_conflict), as_of)
     else:
-        stored = spark.read.parquet(path)
-        today = spark.range(1).select(date_key(_moment(as_of)).alias("d")).first().d
+        columns = first_snapshot(staged, as_of).schema.fields
+        schema = T.StructType([*columns, T.StructField(CLOSED_ON, T.IntegerType())])
+        stored = spark.read.schema(schema).parquet(path)
+        today = int(str(as_of)[:10].replace("-", ""))
         open_rows = stored.where(F.col(CLOSED_ON) == OPEN).drop(CLOSED_ON)
         same_day = stored.where(F.col(CLOSED_ON) == today).drop(CLOSED_ON)
         staged = one_per_key(staged, key, check, on_conflict)

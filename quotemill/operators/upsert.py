@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from ..functions.keys import month_key
+from ..schemas import MONTH
 from ..session import pinned
 from .dedup import keep_first, last_version
 from .joins import lookup_join
 
-MONTH = "yyyymm"
-
 
 def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
@@ -90,9 +91,17 @@ def write_months(df: DataFrame, path: str, day: str, sort: Sequence[str] = (), m
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
 
 
-def read_months(spark: SparkSession, path: str, months: Sequence[int] | None = None) -> DataFrame:
-    """Read a month-partitioned table, listing only the given months when they are known."""
-    df = spark.read.parquet(path)
+def read_months(
+    spark: SparkSession, path: str, months: Sequence[int] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Read a month-partitioned table, or only the given months of it.
+
+    ``schema``, without the partition column, saves opening files to find it out.
+    """
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(MONTH, T.IntegerType())]))
+    df = reader.parquet(path)
     if months is not None:
         df = df.where(F.col(MONTH).isin(list(months)))
     return df.drop(MONTH)
@@ -115,7 +124,7 @@ def delete_insert_months(
     months = months_of(batch, day)
     if not months:
         return
-    merged = delete_insert(read_months(spark, path, months), batch, keys)
+    merged = delete_insert(read_months(spark, path, months, batch.schema), batch, keys)
     write_months(merged, path, day, sort)
 
 
@@ -127,12 +136,18 @@ def append_absent_months(
     day: str,
     order: Sequence[str],
     target_exists: bool = True,
-) -> None:
-    """Append the batch's rows whose key is not stored yet, reading only the batch's months."""
+) -> list[int] | None:
+    """Append the batch's rows whose key is not stored yet, reading only the batch's months.
+
+    Returns these months, or None for a table that was new.
+    """
+    months = None
     if target_exists:
         batch = pinned(batch, "batch")
-        stored = read_months(spark, path, months_of(batch, day))
+        months = months_of(batch, day)
+        stored = read_months(spark, path, months, batch.schema)
         batch = insert_absent(stored, batch, keys, order)
     else:
         batch = keep_first(batch, keys, order)
     with_month(batch, day).hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
+    return months

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,6 +12,11 @@ from ..session import pinned
 from .joins import lookup_join
 
 
+def _tag(column: str) -> Column:
+    """A grouping value as text that keeps NULL apart from every value and can be joined on."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+
 def rolling_mean(
     df: DataFrame,
     partition: Sequence[str],
@@ -25,49 +28,53 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean of ``value`` over the current and the ``rows - 1`` preceding rows of each partition.
 
-    Rows are ordered by ``bucket`` and then ``order``, which must be unique within a bucket. A
-    window over the whole partition would sort a group such as one large industry in one task.
-    Here each (partition, bucket) is its own window, and only the first rows of a bucket need
-    values from before it: the last ``rows - 1`` rows of every bucket are kept, and each bucket
-    is handed the ones that precede it. Those leftovers grow with the number of buckets, not rows.
+    Rows are ordered by ``bucket``, which has no NULL, and then ``order``, which must be unique
+    within a bucket or break ties by the value itself. A window over the whole partition would sort
+    a group such as one large industry in one task. Here each (partition, bucket) is its own
+    window, and only the first rows of a bucket need values from before it: each bucket is handed
+    the last ``rows - 1`` rows that precede it. Those grow with the number of buckets, not rows.
+
+    Rows are shuffled once, by (partition, bucket). The second use of that shuffle, for the last
+    rows of each bucket, and the join of what they hand on keep the same partitioning.
     """
     reach = rows - 1
-    group = [*partition, bucket]
+    tags = [f"_t{i}" for i in range(len(partition))]
+    group = [*tags, bucket]
+    tagged = df.select("*", *[_tag(c).alias(t) for c, t in zip(partition, tags)])
     number = F.col(value).cast("double")
     inside = Window.partitionBy(*group).orderBy(*order)
     frame = inside.rowsBetween(-reach, Window.currentRow)
+    placed = tagged.select(
+        "*",
+        F.row_number().over(inside).alias("_at"),
+        F.sum(number).over(frame).alias("_sum"),
+        F.count(number).over(frame).alias("_n"),
+    )
 
-    backwards = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order])
+    size = F.count(F.lit(1)).over(Window.partitionBy(*group))
     last = (
-        df.withColumn("_back", F.row_number().over(backwards))
-        .where(F.col("_back") <= reach)
-        .select(*group, F.struct(number.alias("v")).alias("_item"), "_back")
+        tagged.select(*group, F.struct(number.alias("v")).alias("_item"), F.row_number().over(inside).alias("_at"), size.alias("_size"))
+        .where(F.col("_at") > F.col("_size") - reach)
     )
-    earlier = Window.partitionBy(*partition).orderBy(bucket, F.col("_back").desc())
-    renamed = [F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]
+    earlier = Window.partitionBy(*tags).orderBy(bucket, "_at")
     carried = (
-        last.withColumn("_carry", F.collect_list("_item").over(earlier.rowsBetween(-reach, -1)))
-        .withColumn("_before", F.lag(bucket).over(earlier))
-        .where(~F.col("_before").eqNullSafe(F.col(bucket)))
-        .select(*renamed, "_carry")
+        last.select(
+            *group,
+            F.collect_list("_item").over(earlier.rowsBetween(-reach, -1)).alias("_carry"),
+            F.lag(bucket).over(earlier).alias("_before"),
+        )
+        .where(F.col("_before").isNotNull() & (F.col("_before") != F.col(bucket)))
+        .drop("_before")
     )
-    same_group = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)])
 
     wanted = F.least(F.lit(reach + 1) - F.col("_at"), F.size("_carry"))
     borrowed = F.when(wanted > 0, F.slice("_carry", F.size("_carry") - wanted + 1, wanted))
     total = F.aggregate(borrowed, F.lit(0.0), lambda acc, item: acc + F.coalesce(item["v"], F.lit(0.0)))
     count = F.size(F.filter(borrowed, lambda item: item["v"].isNotNull()))
     lent = borrowed.isNotNull()
-    return (
-        df.withColumn("_at", F.row_number().over(inside))
-        .withColumn("_sum", F.sum(number).over(frame))
-        .withColumn("_n", F.count(number).over(frame))
-        .join(carried, same_group, "left")
-        .withColumn("_sum", F.coalesce("_sum", F.lit(0.0)) + F.when(lent, total).otherwise(F.lit(0.0)))
-        .withColumn("_n", F.col("_n") + F.when(lent, count).otherwise(F.lit(0)))
-        .withColumn(out, F.try_divide("_sum", "_n"))
-        .drop("_at", "_sum", "_n", "_carry", *[f"_g{i}" for i in range(len(group))])
-    )
+    whole = F.coalesce("_sum", F.lit(0.0)) + F.when(lent, total).otherwise(F.lit(0.0))
+    number_of = F.col("_n") + F.when(lent, count).otherwise(F.lit(0))
+    return placed.join(carried, group, "left").select(*df.columns, F.try_divide(whole, number_of).alias(out))
 
 
 def growth(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
@@ -89,9 +96,6 @@ def group_count(df: DataFrame, group: Sequence[str], out: str) -> DataFrame:
     small and spreads heavy groups otherwise. NULL is a group of its own.
     """
     keyed = [f"_k{i}" for i in range(len(group))]
-    tags = [
-        F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(k)
-        for c, k in zip(group, keyed)
-    ]
+    tags = [_tag(c).alias(k) for c, k in zip(group, keyed)]
     counts = df.groupBy(*tags).agg(F.count(F.lit(1)).alias(out))
     return lookup_join(df.select("*", *tags), pinned(counts, "counts"), keyed, "left").drop(*keyed)

@@ -18,8 +18,8 @@ from pyspark.sql.window import Window
 
 from ..operators.dedup import last_version
 from ..operators.joins import broadcast_within, lookup_join
-from ..operators.upsert import MONTH
 from ..operators.windows import growth, rolling_mean
+from ..schemas import MONTH
 
 Tables = Mapping[str, DataFrame]
 
@@ -41,8 +41,8 @@ def tickers_of(t: Tables, all_versions: bool = False) -> DataFrame:
     return _versions(t["DimTicker"], all_versions)
 
 
-def _latest_year(fact: DataFrame) -> DataFrame:
-    return last_version(fact, ["CompanyKey"], ["Year"])
+def _latest_year(fact: DataFrame, *columns: str) -> DataFrame:
+    return last_version(fact.select("CompanyKey", "Year", *columns), ["CompanyKey"], ["Year"])
 
 
 def ranked_keys(t: Tables, rank: int) -> DataFrame:
@@ -61,7 +61,7 @@ def ranked_companies(t: Tables, rank: int, *columns: str, all_versions: bool = F
 
 def earnings(t: Tables, *columns: str, all_versions: bool = False) -> DataFrame:
     """Companies with the figures of their latest year, one row per company and version."""
-    figures = _latest_year(t["FactFinancials"]).select("CompanyKey", "Profit")
+    figures = _latest_year(t["FactFinancials"], "Profit").drop("Year")
     return companies_of(t, all_versions).select("CompanyKey", *columns).join(figures, "CompanyKey")
 
 
@@ -370,16 +370,18 @@ def yoy_exact(
 def yoy_asof(t: Tables, day: date | None = None, limit: int = 10, all_versions: bool = False) -> DataFrame:
     """Growth between the last closes on or before the day and on or before one year earlier.
 
-    Both closes of a company come from one pass over the fact and one shuffle.
+    Both closes of a company come from one pass over the fact and one shuffle. Of several tickers
+    quoted on that last day the one with the highest key counts. Day and key are packed into one
+    number, because a maximum over numbers is aggregated by hash where one over structs is sorted.
     """
     day = day or last_trading_day(t)
-    date_of, close = F.col("TradingDate"), F.col("ClosePrice")
-    latest = F.struct(date_of, close)
+    date_of = F.col("TradingDate")
+    recency = F.unix_date(date_of).cast("bigint") * (1 << 46) + F.shiftrightunsigned("TickerKey", 18)
+    past = F.when(date_of <= F.lit(year_before(day) if day else None), recency)
     last = up_to(t["FactStock"], day).groupBy("CompanyKey").agg(
-        F.max(latest).alias("_now"),
-        F.max(F.when(date_of <= F.lit(year_before(day) if day else None), latest)).alias("_then"),
+        F.max_by("ClosePrice", recency).alias("_now"), F.max_by("ClosePrice", past).alias("_then")
     )
-    change = F.try_divide(F.col("_now.ClosePrice") - F.col("_then.ClosePrice"), F.col("_then.ClosePrice"))
+    change = F.try_divide(F.col("_now") - F.col("_then"), F.col("_then"))
     pairs = last.where(F.col("_then").isNotNull()).select(
         "CompanyKey", change.alias("_growth"), F.when(change.isNotNull(), 1).otherwise(0).alias("_pairs")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,6 @@ from ..operators import quality as Q
 from ..operators.scd2 import expose, read_snapshot, store_snapshot
 from ..operators.sinks import append_typed
 from ..operators.upsert import (
-    MONTH,
     append_absent_months,
     delete_insert_months,
     insert_absent,
@@ -23,9 +23,11 @@ from ..schemas import (
     COMPANY_CHECK_COLUMNS,
     GOLD_COLUMNS,
     GOLD_SORT_KEYS,
+    MONTH,
     STOCK_KEYS,
     TICKER_CHECK_COLUMNS,
 )
+from ..session import pinned, together
 from . import silver
 from .warehouse import Warehouse
 
@@ -39,36 +41,43 @@ class Run:
     keys: str = "xxhash64"
     # Companies already on file are skipped, as the daily load does, or appended as new versions.
     companies_once: bool = False
-    # Quotes older than the fact's latest day are skipped, or taken in by replacing their keys.
+    # Quotes up to the fact's latest day are taken in by replacing their keys, or skipped.
     late_quotes: bool = True
 
 
-def load_bronze(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
+def load_bronze(run: Run, companies: DataFrame, stocks: DataFrame) -> list[int] | None:
+    """Append the batch; returns the months of its quotes, or None when all of them are new."""
     wh = run.warehouse
     if run.companies_once and wh.exists("bronze", "companies_raw"):
         companies = insert_absent(
             wh.read("bronze", "companies_raw"), companies, ["rank"], ["_ingested_at", *companies.columns]
         )
-    append_typed(companies, COMPANIES_RAW, wh.path("bronze", "companies_raw"))
-    append_absent_months(
-        wh.spark,
-        wh.path("bronze", "stocks_raw"),
-        stocks,
-        ["ticker_symbol", "execution_date_utc"],
-        "execution_date_utc",
-        ["_ingested_at", "market_cap", *stocks.columns],
-        target_exists=wh.exists("bronze", "stocks_raw"),
+    order = ["_ingested_at", *[c for c in stocks.columns if c != "_ingested_at"]]
+    _, months = together(
+        lambda: append_typed(companies, COMPANIES_RAW, wh.path("bronze", "companies_raw")),
+        lambda: append_absent_months(
+            wh.spark,
+            wh.path("bronze", "stocks_raw"),
+            stocks,
+            ["ticker_symbol", "execution_date_utc"],
+            "execution_date_utc",
+            order,
+            target_exists=wh.exists("bronze", "stocks_raw"),
+        ),
     )
+    return months
 
 
-def new_quotes(run: Run) -> DataFrame:
-    """Bronze quotes this run has to process.
+def new_quotes(run: Run, months: list[int] | None) -> DataFrame:
+    """Bronze quotes this run has to process, from the partitions of the batch's months only.
 
-    The high-water mark is applied to the bronze scan, before the dedup, so that only months from
-    the mark on are read. That is safe because the versions of a quote share their day.
+    Without late quotes the high-water mark applies too. It is put on the bronze scan, before the
+    dedup, which is safe because all versions of a quote share their day.
     """
     wh = run.warehouse
     raw = wh.read("bronze", "stocks_raw")
+    if months is not None:
+        raw = raw.where(F.col(MONTH).isin(months))
     if wh.exists("gold", "FactStock") and not run.late_quotes:
         mark = latest_day(wh.read("gold", "FactStock"))
         if mark is not None:
@@ -78,11 +87,11 @@ def new_quotes(run: Run) -> DataFrame:
     return raw.drop(MONTH)
 
 
-def build_silver(run: Run) -> tuple[DataFrame, DataFrame]:
+def build_silver(run: Run, months: list[int] | None) -> tuple[DataFrame, DataFrame]:
     """The deduplicated views. Companies are written, being used by four models."""
     wh = run.warehouse
     companies = wh.write("silver", "companies", silver.companies_view(wh.read("bronze", "companies_raw")))
-    return companies, silver.stocks_view(new_quotes(run))
+    return companies, silver.stocks_view(new_quotes(run, months))
 
 
 def build_snapshots(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
@@ -95,27 +104,46 @@ def build_snapshots(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
             silver.dim_ticker(stocks, run.keys, loaded_at=run.as_of), "TickerKey", TICKER_CHECK_COLUMNS,
         ),
     }
-    for name, (rows, key, check) in staged.items():
+
+    def store(name: str) -> None:
+        rows, key, check = staged[name]
         first = not wh.exists("snapshots", name)
         store_snapshot(
             wh.spark, wh.path("snapshots", name), rows, key, check, run.as_of, first, on_conflict="latest"
         )
 
+    together(*[lambda name=name: store(name) for name in staged])
+
 
 def build_marts(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
     wh = run.warehouse
-    for name in ("DimCompany", "DimTicker"):
-        versions = read_snapshot(wh.spark, wh.path("snapshots", name))
-        wh.rebuild_mart(name, expose(versions, GOLD_COLUMNS[name]))
-    wh.rebuild_mart("DimDate", silver.dim_date(wh.read("bronze", "stocks_raw")))
-    wh.rebuild_mart("FactFinancials", silver.fact_financials(companies, run.keys))
-    wh.rebuild_mart("FactForbesRank", silver.fact_rank(companies, run.keys))
-    path, sort = wh.path("gold", "FactStock"), GOLD_SORT_KEYS["FactStock"]
-    batch = silver.fact_stock(stocks, companies, run.keys)
-    if wh.exists("gold", "FactStock"):
-        delete_insert_months(wh.spark, path, batch, STOCK_KEYS, "TradingDate", sort)
-    else:
-        write_months(batch, path, "TradingDate", sort)
+
+    def versions(name: str) -> DataFrame:
+        return expose(read_snapshot(wh.spark, wh.path("snapshots", name)), GOLD_COLUMNS[name])
+
+    def fact() -> None:
+        path, sort = wh.path("gold", "FactStock"), GOLD_SORT_KEYS["FactStock"]
+        batch = silver.fact_stock(stocks, companies, run.keys)
+        if wh.exists("gold", "FactStock"):
+            delete_insert_months(wh.spark, path, batch, STOCK_KEYS, "TradingDate", sort)
+        else:
+            write_months(batch, path, "TradingDate", sort)
+
+    def dates() -> None:
+        days = silver.dim_date(stocks)
+        if wh.exists("gold", "DimDate"):
+            # Written first: the table cannot be read and replaced in one job.
+            days = pinned(wh.read("gold", "DimDate").unionByName(days).distinct(), "dates")
+        wh.rebuild_mart("DimDate", days)
+
+    together(
+        fact,
+        dates,
+        lambda: wh.rebuild_mart("DimTicker", versions("DimTicker")),
+        lambda: wh.rebuild_mart("DimCompany", versions("DimCompany")),
+        lambda: wh.rebuild_mart("FactFinancials", silver.fact_financials(companies, run.keys)),
+        lambda: wh.rebuild_mart("FactForbesRank", silver.fact_rank(companies, run.keys)),
+    )
 
 
 def check(run: Run) -> DataFrame:
@@ -136,10 +164,10 @@ def check(run: Run) -> DataFrame:
     )
 
 
-def run_pipeline(run: Run, companies: DataFrame, stocks: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+def run_pipeline(run: Run, companies: DataFrame, stocks: DataFrame) -> tuple[Mapping[str, DataFrame], DataFrame]:
     """Staging, snapshots, marts and tests in dependency order; returns gold and the test report."""
-    load_bronze(run, companies, stocks)
-    companies_view, stocks_view = build_silver(run)
+    months = load_bronze(run, companies, stocks)
+    companies_view, stocks_view = build_silver(run, months)
     build_snapshots(run, companies_view, stocks_view)
     build_marts(run, companies_view, stocks_view)
     return run.warehouse.gold(), check(run)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from ..functions.masking import RARE_BELOW
 from ..operators.masking import limited_company, limited_rank
 from ..schemas import GOLD_COLUMNS, GOLD_SORT_KEYS
+from ..session import together
 from .warehouse import Warehouse
 
 # Role -> (layer it may read, prefix of its tables).
@@ -38,7 +39,9 @@ def publish(warehouse: Warehouse, role: str, below: int = RARE_BELOW) -> dict[st
     layer, prefix = ROLES[role]
     gold = warehouse.gold()
     tables = full_set(gold) if role == "analyst_full" else limited_set(gold, below)
-    return {
-        prefix + name: warehouse.write(layer, prefix + name, df, GOLD_SORT_KEYS[name])
-        for name, df in tables.items()
-    }
+
+    def write(name: str) -> DataFrame:
+        return warehouse.write(layer, prefix + name, tables[name], GOLD_SORT_KEYS[name])
+
+    written = together(*[lambda name=name: write(name) for name in tables])
+    return {prefix + name: df for name, df in zip(tables, written)}

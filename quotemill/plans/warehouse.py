@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators.sinks import ctas_sorted
-from ..schemas import GOLD_COLUMNS, GOLD_SORT_KEYS, layer_name
+from ..schemas import GOLD_COLUMNS, GOLD_SORT_KEYS, MONTH, layer_name, stored_schema
 from ..sources.tables import ensure_database
 
 
@@ -27,8 +28,10 @@ class Warehouse:
         path = jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+    def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+        schema = schema or stored_schema(layer, table)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(layer, table))
 
     def write(self, layer: str, table: str, df: DataFrame, sort: Sequence[str] = ()) -> DataFrame:
         """Rebuild a table in full, sorted by key when one is given."""
@@ -36,10 +39,10 @@ class Warehouse:
             ctas_sorted(df, sort, self.path(layer, table))
         else:
             df.write.mode("overwrite").parquet(self.path(layer, table))
-        return self.read(layer, table)
+        return self.read(layer, table, df.schema)
 
-    def gold(self) -> dict[str, DataFrame]:
-        return {name: self.read("gold", name) for name in GOLD_COLUMNS}
+    def gold(self) -> Mapping[str, DataFrame]:
+        return Gold(self)
 
     def rebuild_mart(self, table: str, df: DataFrame) -> DataFrame:
         return self.write("gold", table, df.select(*GOLD_COLUMNS[table]), GOLD_SORT_KEYS[table])
@@ -51,5 +54,23 @@ class Warehouse:
             name = f"{database}.{table}"
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self.spark.catalog.createTable(name, path=self.path(layer, table), source="parquet")
-            if "yyyymm" in self.spark.table(name).columns:
+            if MONTH in self.spark.table(name).columns:
                 self.spark.catalog.recoverPartitions(name)
+
+
+class Gold(Mapping):
+    """The gold tables by name; a table is opened when it is asked for."""
+
+    def __init__(self, warehouse: Warehouse) -> None:
+        self._warehouse = warehouse
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in GOLD_COLUMNS:
+            raise KeyError(name)
+        return self._warehouse.read("gold", name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(GOLD_COLUMNS)
+
+    def __len__(self) -> int:
+        return len(GOLD_COLUMNS)

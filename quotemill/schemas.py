@@ -75,22 +75,57 @@ QUOTE_RECORD = _struct(
     ("dividendRate", _D),
 )
 
-GOLD_COLUMNS: dict[str, tuple[str, ...]] = {
-    "DimCompany": (
-        "CompanyKey", "CompanyName", "Headquarters", "Industry", "Sector", "ValidFrom", "ValidTo",
+_T, _DAY = T.TimestampType(), T.DateType()
+
+GOLD: dict[str, T.StructType] = {
+    "DimCompany": _struct(
+        ("CompanyKey", _L), ("CompanyName", _S), ("Headquarters", _S), ("Industry", _S), ("Sector", _S),
+        ("ValidFrom", _T), ("ValidTo", _T),
+    ),
+    "DimTicker": _struct(
+        ("TickerKey", _L), ("TickerSymbol", _S), ("Exchange", _S), ("Class", _S), ("Currency", _S),
+        ("Sector", _S), ("ValidFrom", _T), ("ValidTo", _T),
     ),
-    "DimTicker": (
-        "TickerKey", "TickerSymbol", "Exchange", "Class", "Currency", "Sector", "ValidFrom", "ValidTo",
+    "DimDate": _struct(
+        ("DateKey", _I), ("TradingDate", _DAY), ("Year", _I), ("Month", _I), ("Day", _I), ("Quarter", _I),
     ),
-    "DimDate": ("DateKey", "TradingDate", "Year", "Month", "Day", "Quarter"),
-    "FactFinancials": ("CompanyKey", "Year", "Sales", "Profit", "Assets", "MarketValue"),
-    "FactForbesRank": ("ForbesRankKey", "CompanyKey", "Year", "ForbesRank"),
-    "FactStock": (
-        "DateKey", "CompanyKey", "TickerKey", "TradingDate", "OpenPrice", "ClosePrice",
-        "HighPrice", "LowPrice", "MarketCap", "Dividend",
+    "FactFinancials": _struct(
+        ("CompanyKey", _L), ("Year", _I), ("Sales", _L), ("Profit", _L), ("Assets", _L), ("MarketValue", _L),
+    ),
+    "FactForbesRank": _struct(("ForbesRankKey", _L), ("CompanyKey", _L), ("Year", _I), ("ForbesRank", _L)),
+    "FactStock": _struct(
+        ("DateKey", _I), ("CompanyKey", _L), ("TickerKey", _L), ("TradingDate", _DAY), ("OpenPrice", _D),
+        ("ClosePrice", _D), ("HighPrice", _D), ("LowPrice", _D), ("MarketCap", _D), ("Dividend", _D),
     ),
 }
 
+GOLD_COLUMNS: dict[str, tuple[str, ...]] = {name: tuple(schema.names) for name, schema in GOLD.items()}
+
+# Dated tables are stored by month; the partition column is not one of their own.
+MONTH = "yyyymm"
+BY_MONTH = {("bronze", "stocks_raw"), ("gold", "FactStock")}
+
+
+def _without(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name not in names])
+
+
+STORED: dict[tuple[str, str], T.StructType] = {
+    ("bronze", "companies_raw"): COMPANIES_RAW,
+    ("bronze", "stocks_raw"): STOCKS_RAW,
+    ("silver", "companies"): _without(COMPANIES_RAW, "_ingested_at"),
+    **{("gold", name): schema for name, schema in GOLD.items()},
+}
+
+
+def stored_schema(layer: str, table: str) -> T.StructType | None:
+    """Schema a table is read with, so that no file has to be opened to find it out."""
+    schema = STORED.get((layer, table))
+    if schema is not None and (layer, table) in BY_MONTH:
+        schema = T.StructType([*schema.fields, T.StructField(MONTH, _I, True)])
+    return schema
+
+
 # Sort key of each gold table, which is also its declared primary key for the dated facts.
 GOLD_SORT_KEYS: dict[str, tuple[str, ...]] = {
     "DimCompany": ("CompanyKey",),

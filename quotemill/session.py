@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +63,10 @@ def pinned(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*steps: Callable[[], object]) -> list[object]:
+    """Start independent jobs at once, so small tables do not wait for each other's tasks."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(step) for step in steps]
+        return [job.result() for job in running]

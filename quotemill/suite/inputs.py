@@ -93,9 +93,8 @@ def _in_period(df: DataFrame, column: str, period: tuple[str, str]) -> DataFrame
     return df.where((F.col(column) >= start) & (F.col(column) < end))
 
 
-def staged_companies(spark: SparkSession, sf_dir: str, period: tuple[str, str]) -> DataFrame:
+def staged_companies(versions: DataFrame, period: tuple[str, str]) -> DataFrame:
     """Companies with an order in the period; their industry is that of the last one."""
-    versions = sample.company_versions(spark, sf_dir)
     start, end = int(period[0][:4]), int(period[1][:4])
     inside = versions.where((F.col("financial_year") >= start) & (F.col("financial_year") < end))
     return silver.dim_company(silver.companies_view(inside.withColumn("financial_year", F.lit(start))), KEYS)

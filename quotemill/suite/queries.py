@@ -17,11 +17,11 @@ from ..operators import dedup, joins, masking, scd2, sinks, upsert, windows
 from ..operators import quality as Q
 from ..plans import analytics, classic, publish, silver
 from ..plans.warehouse import Warehouse
-from ..session import fresh_path
+from ..session import fresh_path, pinned
 from ..sources import delimited, documents, sample, tables
 from ..streaming import jobs
 from . import inputs
-from .scratch import KEYS, database, gold, rounded, shown, warehouse
+from .scratch import KEYS, classic_star, database, gold, rounded, shown, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -420,12 +420,12 @@ def _before(day: str):
 
 @register()
 def incr_high_watermark(spark, sf):
-    facts = inputs.stock_facts(spark, sf)
+    facts = pinned(inputs.stock_facts(spark, sf), "facts")
     return upsert.newer_than(facts, facts.where(_before("2000-06-15")))
 
 
 def _fact_before_1999(spark, sf, path):
-    facts = inputs.stock_facts(spark, sf)
+    facts = pinned(inputs.stock_facts(spark, sf), "facts")
     sort = schemas.GOLD_SORT_KEYS["FactStock"]
     upsert.write_months(facts.where(_before("1999-01-01")), path, "TradingDate", sort)
     restated = facts.where(~_before("1998-07-10")).withColumn("ClosePrice", F.col("ClosePrice") * 2)
@@ -437,7 +437,7 @@ def incr_delete_insert(spark, sf):
     path = fresh_path(spark, "fact")
     batch, sort = _fact_before_1999(spark, sf, path)
     upsert.delete_insert_months(spark, path, batch, schemas.STOCK_KEYS, "TradingDate", sort)
-    return upsert.read_months(spark, path)
+    return upsert.read_months(spark, path, schema=batch.schema)
 
 
 def _snapshots(spark, staged, key, check):
@@ -448,7 +448,8 @@ def _snapshots(spark, staged, key, check):
 
 
 def _company_versions(spark, sf):
-    staged = [inputs.staged_companies(spark, sf, period) for period in inputs.PERIODS]
+    versions = pinned(sample.company_versions(spark, sf), "versions")
+    staged = [inputs.staged_companies(versions, period) for period in inputs.PERIODS]
     return _snapshots(spark, staged, "CompanyKey", schemas.COMPANY_CHECK_COLUMNS)
 
 
@@ -696,7 +697,7 @@ def q6_yoy_exact(spark, sf):
     """Quotes are dated at the start of their year: single days are too thin to recur here."""
     t = gold(spark, sf)
     yearly = F.trunc("TradingDate", "year")
-    fact = t["FactStock"].withColumn("TradingDate", yearly).drop(upsert.MONTH)
+    fact = t["FactStock"].withColumn("TradingDate", yearly).drop(schemas.MONTH)
     dates = t["DimDate"].withColumn("TradingDate", yearly)
     out = analytics.yoy_exact({**t, "FactStock": fact, "DimDate": dates})
     return rounded(out, avg_yoy_growth_pct=6)
@@ -708,7 +709,7 @@ def q6_yoy_asof(spark, sf):
 
 
 def _classic(spark, sf):
-    return classic.star(_companies(spark, sf), _stocks(spark, sf))
+    return classic_star(spark, sf)
 
 
 @register()

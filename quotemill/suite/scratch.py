@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans import classic, silver
 from ..plans.pipeline import Run, run_pipeline
 from ..plans.warehouse import Warehouse
-from ..session import fresh_path
+from ..session import fresh_path, pinned
 from ..sources import sample
 from ..sources.tables import ensure_database
 
@@ -20,6 +22,7 @@ AS_OF = "2025-01-02 00:00:00"
 KEYS = "md5"
 
 _built: dict[tuple[str, str], Warehouse] = {}
+_classic: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _databases: dict[str, str] = {}
 
 
@@ -34,10 +37,21 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _built[key]
 
 
-def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def gold(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return warehouse(spark, sf_dir).gold()
 
 
+def classic_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The first form of the star, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _classic:
+        companies = silver.companies_view(sample.companies_raw(spark, sf_dir))
+        stocks = silver.stocks_view(sample.stocks_raw(spark, sf_dir))
+        star = classic.star(pinned(companies, "companies"), pinned(stocks, "stocks"))
+        _classic[key] = {name: pinned(df, name) for name, df in star.items()}
+    return _classic[key]
+
+
 def database(spark: SparkSession) -> str:
     """A database of this application, located in the shared folder."""
     app = spark.sparkContext.applicationId
