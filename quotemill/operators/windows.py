@@ -34,14 +34,14 @@ def rolling_mean(
     window, and only the first rows of a bucket need values from before it: each bucket is handed
     the last ``rows - 1`` rows that precede it. Those grow with the number of buckets, not rows.
 
-    Rows are shuffled once, by (partition, bucket). The second use of that shuffle, for the last
-    rows of each bucket, and the join of what they hand on keep the same partitioning.
+    Rows are shuffled by (partition, bucket), and the join of what buckets hand on keeps that
+    partitioning. Pass only the columns named here and Spark uses the same shuffle for both sides.
     """
     reach = rows - 1
     tags = [f"_t{i}" for i in range(len(partition))]
     group = [*tags, bucket]
     tagged = df.select("*", *[_tag(c).alias(t) for c, t in zip(partition, tags)])
-    number = F.col(value).cast("double")
+    number = F.col(value)
     inside = Window.partitionBy(*group).orderBy(*order)
     frame = inside.rowsBetween(-reach, Window.currentRow)
     placed = tagged.select(
@@ -52,15 +52,16 @@ def rolling_mean(
     )
 
     size = F.count(F.lit(1)).over(Window.partitionBy(*group))
-    last = (
-        tagged.select(*group, F.struct(number.alias("v")).alias("_item"), F.row_number().over(inside).alias("_at"), size.alias("_size"))
-        .where(F.col("_at") > F.col("_size") - reach)
-    )
-    earlier = Window.partitionBy(*tags).orderBy(bucket, "_at")
+    # The same columns in the same order as above, so that Spark sees one shuffle for both.
+    kept = [c for c in tagged.columns if c in {*partition, *group, *order, value}]
+    last = tagged.select(
+        *kept, F.row_number().over(inside).alias("_at"), size.alias("_size")
+    ).where(F.col("_at") > F.col("_size") - reach)
+    earlier = Window.partitionBy(*partition).orderBy(bucket, "_at")
     carried = (
         last.select(
             *group,
-            F.collect_list("_item").over(earlier.rowsBetween(-reach, -1)).alias("_carry"),
+            F.collect_list(F.struct(number.cast("double").alias("v"))).over(earlier.rowsBetween(-reach, -1)).alias("_carry"),
             F.lag(bucket).over(earlier).alias("_before"),
         )
         .where(F.col("_before").isNotNull() & (F.col("_before") != F.col(bucket)))
@@ -72,7 +73,7 @@ def rolling_mean(
     total = F.aggregate(borrowed, F.lit(0.0), lambda acc, item: acc + F.coalesce(item["v"], F.lit(0.0)))
     count = F.size(F.filter(borrowed, lambda item: item["v"].isNotNull()))
     lent = borrowed.isNotNull()
-    whole = F.coalesce("_sum", F.lit(0.0)) + F.when(lent, total).otherwise(F.lit(0.0))
+    whole = F.coalesce(F.col("_sum").cast("double"), F.lit(0.0)) + F.when(lent, total).otherwise(F.lit(0.0))
     number_of = F.col("_n") + F.when(lent, count).otherwise(F.lit(0))
     return placed.join(carried, group, "left").select(*df.columns, F.try_divide(whole, number_of).alias(out))
 
