@@ -76,16 +76,18 @@ def spread_join(
 
 
 def lookup_join(
-    large: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner"
+    large: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", unique: bool = False
 ) -> DataFrame:
     """Join a table that may be skewed on ``on`` with a lookup.
 
+    ``unique`` says that ``on`` is a key of the large side too, which therefore has no heavy keys.
+
     ``how`` is inner, left, left_semi or left_anti. When Spark will broadcast the lookup by its
     own size check, nothing else is needed. Otherwise heavy keys of the large side are found in
     one narrow pass and spread in proportion to their share of the rows.
     """
     spark = large.sparkSession
-    if planned_bytes(lookup) <= _broadcast_limit(spark):
+    if unique or planned_bytes(lookup) <= _broadcast_limit(spark):
         return large.join(lookup, list(on), how)
     hashes, share = heavy_keys(large, on)
     if not hashes:

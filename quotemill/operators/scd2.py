@@ -30,7 +30,8 @@ def one_per_key(
     ordered = [c for c in check if c != key] + [c for c in rest if c not in check]
     picked = F.struct(*[F.col(c) for c in ordered])
     checked = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in check])
-    one = staged.groupBy(key).agg(
+    # Repeats are dropped by hash first: what is left to sort is one row per distinct state.
+    one = staged.distinct().groupBy(key).agg(
         F.max(picked).alias("_row"), F.min(checked).alias("_lo"), F.max(checked).alias("_hi")
     )
     row: Column = F.col("_row")

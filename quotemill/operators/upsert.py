@@ -25,7 +25,7 @@ def insert_absent(
 ) -> DataFrame:
     """Batch rows to insert: the first of each key, unless the target already holds the key."""
     fresh = keep_first(batch, keys, order)
-    return lookup_join(fresh, _keys_of(target, keys), keys, "left_anti")
+    return lookup_join(fresh, _keys_of(target, keys), keys, "left_anti", unique=True)
 
 
 def skip_loaded_days(target: DataFrame, batch: DataFrame, day: str = "trading_day") -> DataFrame:
@@ -41,14 +41,16 @@ def day_is_loaded(target: DataFrame, day: object, column: str = "trading_day") -
     return not target.where(F.col(column) == F.lit(day)).limit(1).isEmpty()
 
 
-def delete_keys(target: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Target without the rows whose key is listed."""
-    return lookup_join(target, _keys_of(keys, on), on, "left_anti")
+def delete_keys(
+    target: DataFrame, keys: DataFrame, on: Sequence[str], unique: bool = False
+) -> DataFrame:
+    """Target without the rows whose key is listed; ``unique`` when that is the target's own key."""
+    return lookup_join(target, _keys_of(keys, on), on, "left_anti", unique)
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target without the batch's keys, plus the batch."""
-    return delete_keys(target, batch, keys).unionByName(batch)
+    """Target without the batch's keys, plus the batch. The keys are the target's primary key."""
+    return delete_keys(target, batch, keys, unique=True).unionByName(batch)
 
 
 def upsert_whole(

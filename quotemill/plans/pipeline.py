@@ -88,10 +88,13 @@ def new_quotes(run: Run, months: list[int] | None) -> DataFrame:
 
 
 def build_silver(run: Run, months: list[int] | None) -> tuple[DataFrame, DataFrame]:
-    """The deduplicated views. Companies are written, being used by four models."""
+    """The deduplicated views, written because several models use each; stocks of this run only."""
     wh = run.warehouse
-    companies = wh.write("silver", "companies", silver.companies_view(wh.read("bronze", "companies_raw")))
-    return companies, silver.stocks_view(new_quotes(run, months))
+    companies, stocks = together(
+        lambda: wh.write("silver", "companies", silver.companies_view(wh.read("bronze", "companies_raw"))),
+        lambda: wh.write("silver", "stocks", silver.stocks_view(new_quotes(run, months))),
+    )
+    return companies, stocks
 
 
 def build_snapshots(run: Run, companies: DataFrame, stocks: DataFrame) -> None:

@@ -49,7 +49,7 @@ class Warehouse:
 
     def register(self, layer: str, tables: Sequence[str], prefix: str = "") -> None:
         """Expose tables of a layer to SQL, one database per layer."""
-        database = ensure_database(self.spark, prefix + layer)
+        database = ensure_database(self.spark, prefix + layer_name(layer))
         for table in tables:
             name = f"{database}.{table}"
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
