@@ -93,6 +93,22 @@ def write_months(df: DataFrame, path: str, day: str, sort: Sequence[str] = (), m
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
 
 
+def copy_months(df: DataFrame, path: str, sort: Sequence[str], months: Sequence[int] | None = None) -> None:
+    """Copy a table that is stored by month, partition column included, or some of its months.
+
+    Files hold one month each, so tasks already write to few partitions and nothing is shuffled.
+    """
+    if months is not None:
+        df = df.where(F.col(MONTH).isin(list(months)))
+    (
+        df.sortWithinPartitions(MONTH, *sort)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(MONTH)
+        .parquet(path)
+    )
+
+
 def read_months(
     spark: SparkSession, path: str, months: Sequence[int] | None = None, schema: T.StructType | None = None
 ) -> DataFrame:

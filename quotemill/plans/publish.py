@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 from ..functions.masking import RARE_BELOW
 from ..operators.masking import limited_company, limited_rank
-from ..schemas import GOLD_COLUMNS, GOLD_SORT_KEYS
+from ..operators.upsert import copy_months, read_months
+from ..schemas import BY_MONTH, GOLD_COLUMNS, GOLD_SORT_KEYS
 from ..session import together
 from .warehouse import Warehouse
 
@@ -31,17 +32,25 @@ def limited_set(gold: Mapping[str, DataFrame], below: int = RARE_BELOW) -> dict[
     return tables
 
 
-def publish(warehouse: Warehouse, role: str, below: int = RARE_BELOW) -> dict[str, DataFrame]:
+def publish(
+    warehouse: Warehouse, role: str, below: int = RARE_BELOW, months: Sequence[int] | None = None
+) -> dict[str, DataFrame]:
     """Write the table set of a role, sorted by key, and return it by table name.
 
-    Who may read which folder is for the storage or catalog to enforce; nothing here does.
+    The dated fact is copied month by month in the layout it is stored in, without a shuffle; with
+    ``months`` only these are copied anew, which suffices after a daily run. Who may read which
+    folder is for the storage or catalog to enforce; nothing here does.
     """
     layer, prefix = ROLES[role]
     gold = warehouse.gold()
     tables = full_set(gold) if role == "analyst_full" else limited_set(gold, below)
 
     def write(name: str) -> DataFrame:
-        return warehouse.write(layer, prefix + name, tables[name], GOLD_SORT_KEYS[name])
+        if ("gold", name) not in BY_MONTH:
+            return warehouse.write(layer, prefix + name, tables[name], GOLD_SORT_KEYS[name])
+        path = warehouse.path(layer, prefix + name)
+        copy_months(gold[name], path, GOLD_SORT_KEYS[name], months)
+        return read_months(warehouse.spark, path, schema=tables[name].schema)
 
     written = together(*[lambda name=name: write(name) for name in tables])
     return {prefix + name: df for name, df in zip(tables, written)}

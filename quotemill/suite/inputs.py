@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import last_version
 from ..plans import silver
-from ..session import fresh_path
+from ..session import fresh_path, pinned, together
 from ..sources import sample
 from .scratch import KEYS
 
@@ -80,8 +80,12 @@ def quote_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stock_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    companies = silver.companies_view(sample.companies_raw(spark, sf_dir))
-    return silver.fact_stock(silver.stocks_view(sample.stocks_raw(spark, sf_dir)), companies, KEYS)
+    """The staged fact, over views that are written first as the daily run does."""
+    companies, stocks = together(
+        lambda: pinned(silver.companies_view(sample.companies_raw(spark, sf_dir)), "companies"),
+        lambda: pinned(silver.stocks_view(sample.stocks_raw(spark, sf_dir)), "stocks"),
+    )
+    return silver.fact_stock(stocks, companies, KEYS)
 
 
 # Snapshots are taken of the orders of three periods, dated at the start of the following year.

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..plans import classic, silver
 from ..plans.pipeline import Run, run_pipeline
 from ..plans.warehouse import Warehouse
-from ..session import fresh_path, pinned
+from ..session import fresh_path, pinned, together
 from ..sources import sample
 from ..sources.tables import ensure_database
 
@@ -47,8 +47,9 @@ def classic_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if key not in _classic:
         companies = silver.companies_view(sample.companies_raw(spark, sf_dir))
         stocks = silver.stocks_view(sample.stocks_raw(spark, sf_dir))
-        star = classic.star(pinned(companies, "companies"), pinned(stocks, "stocks"))
-        _classic[key] = {name: pinned(df, name) for name, df in star.items()}
+        star = classic.star(*together(lambda: pinned(companies, "companies"), lambda: pinned(stocks, "stocks")))
+        written = together(*[lambda name=name: pinned(star[name], name) for name in star])
+        _classic[key] = dict(zip(star, written))
     return _classic[key]
 
 

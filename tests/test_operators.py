@@ -219,6 +219,21 @@ def test_rewrite_compact_and_sorted_copies(spark, path):
     assert spark.read.parquet(f"{path}/s").count() == 50
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketing")
+    df = spark.range(1000).selectExpr("id AS k", "id * 2 AS v")
+    for name in ("a", "b"):
+        sinks.bucketed_table(df, f"bucketing.{name}", ["k"], 4, f"{path}/{name}")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("bucketing.a").join(spark.table("bucketing.b"), "k").groupBy("k").count()
+        assert joined.count() == 1000
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 # --- SCD2 ---------------------------------------------------------------------------------------
 
 DIM = "key int, name string, note string"

@@ -94,6 +94,10 @@ def test_publish_and_register(spark, built):
     assert groups.where("count < 35").isEmpty()
     for name in ("DimDate", "DimTicker", "FactStock", "FactFinancials"):
         assert limited[f"v_limited_{name}"].count() == full[f"v_{name}"].count()
+    assert full["v_FactStock"].columns == list(schemas.GOLD_COLUMNS["FactStock"])
+    again = publish.publish(wh, "analyst_full", months=[199801, 199802])
+    stored = wh.gold()["FactStock"].drop(schemas.MONTH)
+    assert again["v_FactStock"].exceptAll(stored).isEmpty() and stored.exceptAll(again["v_FactStock"]).isEmpty()
     with pytest.raises(KeyError):
         publish.publish(wh, "nobody")
     wh.register(" Gold ", ["DimCompany", "FactStock"], prefix="tests_")
