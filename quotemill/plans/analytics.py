@@ -20,6 +20,7 @@ from ..operators.dedup import last_version
 from ..operators.joins import broadcast_within, lookup_join
 from ..operators.windows import growth, rolling_mean
 from ..schemas import MONTH
+from ..session import pinned
 
 Tables = Mapping[str, DataFrame]
 
@@ -60,9 +61,14 @@ def ranked_companies(t: Tables, rank: int, *columns: str, all_versions: bool = F
 
 
 def earnings(t: Tables, *columns: str, all_versions: bool = False) -> DataFrame:
-    """Companies with the figures of their latest year, one row per company and version."""
+    """Companies with the profit of their latest year, one row per company and version.
+
+    Written before it meets the fact: the estimate for a join is far too high, and would make
+    Spark shuffle the fact for a lookup that may well be small enough to broadcast.
+    """
     figures = _latest_year(t["FactFinancials"], "Profit").drop("Year")
-    return companies_of(t, all_versions).select("CompanyKey", *columns).join(figures, "CompanyKey")
+    firms = companies_of(t, all_versions).select("CompanyKey", *columns).join(figures, "CompanyKey")
+    return pinned(firms, "earnings")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -181,8 +187,12 @@ def return_on_assets(t: Tables, limit: int = 10, all_versions: bool = False) ->
     return top(out, limit, F.desc_nulls_last("roa"), F.asc("CompanyName"), F.asc("Industry"))
 
 
-def company_pe(t: Tables, all_versions: bool = False) -> DataFrame:
-    """Mean price to earnings of each company, profit above zero.
+def profitable(t: Tables, all_versions: bool = False) -> DataFrame:
+    return earnings(t, "CompanyName", "Industry", all_versions=all_versions).where(F.col("Profit") > 0)
+
+
+def company_pe(t: Tables, firms: DataFrame) -> DataFrame:
+    """Mean price to earnings of each of the profitable ``firms``.
 
     Profit is constant per company, so closes are summed per company before any join and the mean
     of the ratios is the sum divided once.
@@ -190,7 +200,6 @@ def company_pe(t: Tables, all_versions: bool = False) -> DataFrame:
     closes = t["FactStock"].groupBy("CompanyKey").agg(
         F.sum("ClosePrice").alias("_close"), F.count("ClosePrice").alias("_n")
     )
-    firms = earnings(t, "CompanyName", "Industry", all_versions=all_versions).where(F.col("Profit") > 0)
     return (
         closes.join(firms, "CompanyKey")
         .groupBy("Industry", "CompanyName")
@@ -202,14 +211,10 @@ def company_pe(t: Tables, all_versions: bool = False) -> DataFrame:
 
 
 def industry_pe_by_day(
-    t: Tables, rank: int = LIST_SIZE, until: date | None = None, all_versions: bool = False
+    t: Tables, firms: DataFrame, rank: int = LIST_SIZE, until: date | None = None
 ) -> DataFrame:
-    """Mean price to earnings of each industry on each day, among ranked companies."""
-    firms = (
-        earnings(t, "Industry", all_versions=all_versions)
-        .where(F.col("Profit") > 0)
-        .join(ranked_keys(t, rank), "CompanyKey", "left_semi")
-    )
+    """Mean price to earnings of each industry on each day, among the ranked of ``firms``."""
+    firms = firms.select("CompanyKey", "Industry", "Profit").join(ranked_keys(t, rank), "CompanyKey", "left_semi")
     fact = t["FactStock"] if until is None else up_to(t["FactStock"], until)
     quotes = fact.select("TradingDate", "CompanyKey", "ClosePrice")
     return (
@@ -230,11 +235,12 @@ def peer_pe(
     """
     dear = Window.partitionBy("Industry").orderBy(F.desc_nulls_last("company_pe"), F.asc("CompanyName"))
     cheap = Window.partitionBy("Industry").orderBy(F.asc_nulls_last("avg_pe"), F.asc("TradingDate"))
+    firms = profitable(t, all_versions)
     companies = (
-        company_pe(t, all_versions).withColumn("_i", F.row_number().over(dear)).where(F.col("_i") <= limit)
+        company_pe(t, firms).withColumn("_i", F.row_number().over(dear)).where(F.col("_i") <= limit)
     )
     days = (
-        industry_pe_by_day(t, rank, until, all_versions)
+        industry_pe_by_day(t, firms, rank, until)
         .withColumn("_j", F.row_number().over(cheap))
         .where(F.col("_j") <= limit)
     )
@@ -252,11 +258,7 @@ def peer_pe_top(t: Tables, rank: int = LIST_SIZE, until: date | None = None) ->
     """The dearest company of each industry on the last trading day, against that day's mean."""
     day = last_trading_day(t, until)
     quotes = on_day(t["FactStock"], day).select("TradingDate", "CompanyKey", "ClosePrice")
-    firms = (
-        earnings(t, "CompanyName", "Industry")
-        .where(F.col("Profit") > 0)
-        .join(ranked_keys(t, rank), "CompanyKey", "left_semi")
-    )
+    firms = profitable(t).join(ranked_keys(t, rank), "CompanyKey", "left_semi")
     priced = (
         lookup_join(quotes, firms, ["CompanyKey"])
         .groupBy("TradingDate", "Industry", "CompanyName")
