@@ -40,6 +40,11 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def will_broadcast(lookup: DataFrame) -> bool:
+    """Whether Spark, by its own size check, is going to broadcast the lookup."""
+    return planned_bytes(lookup) <= _broadcast_limit(lookup.sparkSession)
+
+
 def heavy_keys(df: DataFrame, on: Sequence[str]) -> tuple[list[int], float]:
     """Hashes of the keys that would overload one shuffle partition, and the largest share.
 
@@ -86,13 +91,12 @@ def lookup_join(
     own size check, nothing else is needed. Otherwise heavy keys of the large side are found in
     one narrow pass and spread in proportion to their share of the rows.
     """
-    spark = large.sparkSession
-    if unique or planned_bytes(lookup) <= _broadcast_limit(spark):
+    if unique or will_broadcast(lookup):
         return large.join(lookup, list(on), how)
     hashes, share = heavy_keys(large, on)
     if not hashes:
         return large.join(lookup, list(on), how)
-    spread = max(2, math.ceil(share * _shuffle_partitions(spark)))
+    spread = max(2, math.ceil(share * _shuffle_partitions(large.sparkSession)))
     return spread_join(large, lookup, on, how, hashes, spread)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.dedup import last_version
-from ..operators.joins import broadcast_within, lookup_join
+from ..operators.joins import broadcast_within, lookup_join, will_broadcast
 from ..operators.windows import growth, rolling_mean
 from ..schemas import MONTH
 from ..session import pinned
@@ -117,7 +117,11 @@ def rolling_marketcap(
     companies = ranked_companies(t, rank, "Industry", all_versions=all_versions)
     quotes = t["FactStock"].select("DateKey", "CompanyKey", "TickerKey", "MarketCap")
     symbols = tickers_of(t, all_versions).select("TickerKey", "TickerSymbol")
-    listed = lookup_join(lookup_join(quotes, companies, ["CompanyKey"]), symbols, ["TickerKey"])
+    ranked = lookup_join(quotes, companies, ["CompanyKey"])
+    if not will_broadcast(symbols):
+        # The next join looks at these rows twice; they are few, the fact is not.
+        ranked = pinned(ranked, "ranked")
+    listed = lookup_join(ranked, symbols, ["TickerKey"])
     rolled = rolling_mean(
         listed.select("Industry", "DateKey", "TickerSymbol", "MarketCap"),
         ["Industry"], "DateKey", ["TickerSymbol", "MarketCap"], "MarketCap", rows, "avg_3m_marketcap",

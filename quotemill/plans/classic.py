@@ -79,7 +79,7 @@ def rolling_marketcap(t: Tables, rank: int = TOP_RANK, rows: int = ROLLING_ROWS,
     rolled = rolling_mean(
         listed, ["Industry"], "DateKey", ["TickerSymbol", "MarketCap"], "MarketCap", rows, "avg_3m_marketcap"
     )
-    out = rolled.join(F.broadcast(t["DimDate"].select("DateKey", "Year", "Month")), "DateKey").select(
+    out = lookup_join(rolled, t["DimDate"].select("DateKey", "Year", "Month"), ["DateKey"]).select(
         "Industry", "Year", "Month", "avg_3m_marketcap"
     )
     return top(out, limit, F.desc_nulls_last("avg_3m_marketcap"), F.asc("Industry"), F.asc("Year"), F.asc("Month"))

@@ -191,11 +191,11 @@ SHARED: dict[str, str] = {
         FROM {ticker_changes} WHERE opens""",
 }
 
-_REFERENCE = re.compile(r"\{([a-z_0-9]+)\}")
+_SHARED_NAME = re.compile(r"\{([a-z_0-9]+)\}")
 
 
 def _needs(sql: str, seen: list[str]) -> None:
-    for name in _REFERENCE.findall(sql):
+    for name in _SHARED_NAME.findall(sql):
         _needs(SHARED[name], seen)
         if name not in seen:
             seen.append(name)
@@ -207,7 +207,7 @@ def complete(sql: str) -> str:
     _needs(sql, names)
 
     def plain(text: str) -> str:
-        return _REFERENCE.sub(r"\1", text).replace("{{", "{").replace("}}", "}").strip()
+        return _SHARED_NAME.sub(r"\1", text).replace("{{", "{").replace("}}", "}").strip()
 
     if not names:
         return plain(sql)
