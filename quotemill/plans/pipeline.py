@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +69,15 @@ def load_bronze(run: Run, companies: DataFrame, stocks: DataFrame) -> list[int]
     return months
 
 
+def high_water_mark(wh: Warehouse) -> date | None:
+    """Latest day of the fact. The small DimDate tells which months to look at first."""
+    fact, known = wh.read("gold", "FactStock"), latest_day(wh.read("gold", "DimDate"))
+    if known is None:
+        return None
+    recent = latest_day(fact.where(F.col(MONTH) >= known.year * 100 + known.month))
+    return recent or latest_day(fact)
+
+
 def new_quotes(run: Run, months: list[int] | None) -> DataFrame:
     """Bronze quotes this run has to process, from the partitions of the batch's months only.
 
@@ -79,7 +89,7 @@ def new_quotes(run: Run, months: list[int] | None) -> DataFrame:
     if months is not None:
         raw = raw.where(F.col(MONTH).isin(months))
     if wh.exists("gold", "FactStock") and not run.late_quotes:
-        mark = latest_day(wh.read("gold", "FactStock"))
+        mark = high_water_mark(wh)
         if mark is not None:
             raw = raw.where(
                 (F.col(MONTH) >= mark.year * 100 + mark.month) & (F.col("trading_day") > F.lit(mark))
