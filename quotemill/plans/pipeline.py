@@ -111,19 +111,20 @@ def build_snapshots(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
     wh = run.warehouse
     staged = {
         "DimCompany": (
-            silver.dim_company(companies, run.keys, run.as_of), "CompanyKey", COMPANY_CHECK_COLUMNS,
+            silver.dim_company(silver.last_companies(companies), run.keys, run.as_of),
+            "CompanyKey", COMPANY_CHECK_COLUMNS,
         ),
         "DimTicker": (
-            silver.dim_ticker(stocks, run.keys, loaded_at=run.as_of), "TickerKey", TICKER_CHECK_COLUMNS,
+            silver.dim_ticker(silver.last_tickers(stocks), run.keys, loaded_at=run.as_of),
+            "TickerKey", TICKER_CHECK_COLUMNS,
         ),
     }
 
     def store(name: str) -> None:
         rows, key, check = staged[name]
         first = not wh.exists("snapshots", name)
-        store_snapshot(
-            wh.spark, wh.path("snapshots", name), rows, key, check, run.as_of, first, on_conflict="latest"
-        )
+        # One row is staged per natural key, so a conflict can only be two of them sharing a hash.
+        store_snapshot(wh.spark, wh.path("snapshots", name), rows, key, check, run.as_of, first)
 
     together(*[lambda name=name: store(name) for name in staged])
 

@@ -87,6 +87,19 @@ def dim_ticker(
     return tickers.distinct() if distinct else tickers
 
 
+def last_companies(companies: DataFrame) -> DataFrame:
+    """Each company as of its latest year, for staging: one row per key."""
+    return last_version(companies, ["company", "headquarters"], ["financial_year"])
+
+
+def last_tickers(stocks: DataFrame) -> DataFrame:
+    """Each ticker as of its latest quote, for staging: one row per key."""
+    used = stocks.select(
+        "ticker_symbol", F.coalesce("exchange", F.lit("")).alias("exchange"), "currency", "sector", "execution_date_utc"
+    )
+    return last_version(used, ["ticker_symbol", "exchange"], ["execution_date_utc"])
+
+
 def fact_financials(companies: DataFrame, keys: str = "xxhash64") -> DataFrame:
     """Measures in whole millions, truncated toward zero."""
     return companies.where(F.col("company").isNotNull()).select(

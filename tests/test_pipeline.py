@@ -84,6 +84,31 @@ def test_daily_modes(spark, inputs):
     assert days.a >= date(1998, 1, 1) and days.b > date(1999, 1, 1) and gold["FactStock"].count() > before
 
 
+def test_dimensions_follow_the_latest_state(spark, inputs):
+    """A ticker changes currency within a month and a company its industry between years."""
+    companies, stocks = inputs
+    one = stocks.where("ticker_symbol = 'T1'").orderBy("trading_day").limit(1).drop("exchange", "currency")
+    quote = lambda day, currency: one.select(
+        *[
+            {
+                "exchange": F.lit("X"), "currency": F.lit(currency), "trading_day": F.lit(day).cast("date"),
+                "execution_date_utc": F.lit(day).cast("timestamp"),
+            }.get(c, F.col(c) if c in one.columns else None).alias(c)
+            for c in stocks.columns
+        ]
+    )
+    years = companies.withColumn("financial_year", F.lit(2024)).withColumn("rank", F.col("rank") + 100_000)
+    both = companies.unionByName(years.withColumn("industry", F.lit("ZZZ")))
+    wh = Warehouse(spark, fresh_path(spark, "latest"))
+    run_pipeline(Run(wh, "2025-01-02 00:00:00"), both, quote("2024-05-02", "USD").union(quote("2024-05-20", "EUR")))
+    run_pipeline(Run(wh, "2025-01-03 00:00:00"), both, quote("2024-05-25", "CHF").union(quote("2024-05-21", "USD")))
+    gold = wh.gold()
+    assert [(r.Currency, r.ValidTo is None) for r in gold["DimTicker"].orderBy("ValidFrom").collect()] == [("EUR", False), ("CHF", True)]
+    assert gold["DimCompany"].where("Industry = 'ZZZ'").isEmpty()
+    assert gold["DimCompany"].count() == companies.count() and gold["FactFinancials"].count() == 2 * companies.count()
+    assert gold["FactStock"].count() == 4
+
+
 def test_publish_and_register(spark, built):
     wh, *_ = built
     full, limited = publish.publish(wh, "analyst_full"), publish.publish(wh, "analyst_limited", below=35)
