@@ -7,7 +7,10 @@ import __spark_entry__ as suite
 from check import TABLES, compare
 from conftest import SMALL
 
-QUERIES, ORACLE = suite.queries(), suite.oracle_sql()
+from quotemill.suite.oracle import statements
+from quotemill.suite.queries import QUERIES
+
+ORACLE = statements()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +25,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(suite.queries()) and set(ORACLE) <= set(suite.oracle_sql())
+
+
 def test_entry(spark):
     got = suite.entry(spark)
     assert got.columns == ["Industry", "Year", "Month", "avg_3m_marketcap"] and got.count() == 10
