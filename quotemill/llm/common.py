@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import pinned
+
 #: Rows in an Arrow batch. Whole texts travel in these batches, so fewer rows bound a worker's memory.
 BATCH_ROWS = 1000
 
@@ -23,6 +26,26 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder, with the shuffle files of its making dropped.
+
+    Spark drops them at the end of the write under the setting below, or once the driver's JVM collects garbage,
+    which a driver with little to do would put off.
+    """
+    spark = df.sparkSession
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        out = pinned(df, label)
+    finally:
+        spark.conf.set(name, before)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, so that other columns cannot clash with its own names."""
     small_batches(docs.sparkSession)

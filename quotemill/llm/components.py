@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pinned
+from .common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,20 +16,20 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder, so a lost executor costs no earlier round. Nothing but "are edges left" reaches the driver.
     Self-loops and repeated edges are allowed; an empty table gives an empty result.
     """
-    left = pinned(edges.where("a <> b").select("a", "b"), "edges")
+    left = written(edges.where("a <> b").select("a", "b"), "edges")
     maps: list[DataFrame] = []
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))
-        points = pinned(near, "pointers")
+        points = written(near, "pointers")
         for _ in range(2):
             points = _follow(points, points)
-        points = pinned(points, "pointers")
+        points = written(points, "pointers")
         maps.append(points)
         a = points.select(F.col("node").alias("a"), F.col("to").alias("to_a"))
         b = points.select(F.col("node").alias("b"), F.col("to").alias("to_b"))
         moved = left.join(a, "a").join(b, "b").where("to_a <> to_b")
-        left = pinned(moved.select(F.greatest("to_a", "to_b").alias("a"), F.least("to_a", "to_b").alias("b")).distinct(), "edges")
+        left = written(moved.select(F.greatest("to_a", "to_b").alias("a"), F.least("to_a", "to_b").alias("b")).distinct(), "edges")
     if not maps:
         return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
     found = maps[0]

@@ -13,8 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pinned
-from .common import BLANK, documents
+from .common import BLANK, documents, written
 
 #: The six white-space characters of the word pattern.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -156,7 +155,7 @@ def judge(docs: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     A null text has no words and fails the base rules, as does any of fewer than 20 words. Without any reference the
     base rules alone decide. Repeated rows get equal results; an empty table gives no rows.
     """
-    counted = pinned(counts(docs), "quality-counts")
+    counted = written(counts(docs), "quality-counts")
     found = references(counted, limits)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     fits = [

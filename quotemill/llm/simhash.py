@@ -16,8 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pinned
-from .common import documents, shuffle_partitions, slices, spare, texts_of
+from .common import documents, shuffle_partitions, slices, spare, texts_of, written
 from .components import components
 
 WIDTH = 4
@@ -192,8 +191,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, b
     once, by their smallest doc_id, however many documents share them. A row without doc_id gets a fingerprint, links
     nothing and has a null component. An empty table gives no rows.
     """
-    prints = pinned(fingerprints(docs, width), "fingerprints")
-    distinct = pinned(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
+    prints = written(fingerprints(docs, width), "fingerprints")
+    distinct = written(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
     reached = components(links(distinct, budget, blocks))
     labelled = distinct.join(reached, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(labelled, "fp", "left").select(

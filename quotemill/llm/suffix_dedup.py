@@ -28,8 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pinned
-from .common import documents, ranges, shuffle_partitions, slices, spare, texts_of
+from .common import documents, ranges, shuffle_partitions, slices, spare, texts_of, written
 
 LENGTH = 50
 GRAM = 20
@@ -37,9 +36,9 @@ HOT_SHARE = 0.005
 HOT_LEAST = 512
 #: Text bytes of one hashing step, of one flush of a task, and of one group of anchors; suffixes sorted at once.
 STEP = 1 << 19
-FLUSH = 1 << 24
+FLUSH = 1 << 23
 GROUP = 1 << 26
-SUFFIXES = 1 << 16
+SUFFIXES = 1 << 15
 
 _NO_ID = (1 << 63) - 1
 _DIVERSE = -1
@@ -128,7 +127,10 @@ def _unpacked(raw: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-_ENTRY = ("<u8", "<i8", "<i8")  # hash, change of doc, place
+_ENTRY = ("<u4", "<u1", "<i8", "<i8")  # low 40 bits of the hash in two parts, change of doc, place; the bucket tells the rest
+_WINDOW = 255  # in place of an anchor's offset: a lone window
+_CONTEXT = ("<u1", "<u2", "<i8", "<i8")  # anchor's offset, bytes, smallest document, distance to the largest
+_HOT = -1  # in place of a document: the row names a frequent anchor
 
 
 def _place(first: np.ndarray, count: np.ndarray, offset: np.ndarray) -> np.ndarray:
@@ -151,57 +153,80 @@ def anchor_rows(texts: list[bytes], ids: np.ndarray, buckets: int, length: int,
     hashes, doc, place = hashes[order], doc[order], place[order]
     begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
     size = np.diff(np.append(begin, len(hashes)))
-    several = np.repeat(doc[begin] != doc[begin + size - 1], size)
+    change = np.concatenate([[1], (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])])
+    holders = np.add.reduceat(change, begin)
+    several = np.repeat(holders > 1, size)
     leads = np.zeros(len(hashes), bool)
     leads[begin] = True
+    # An anchor that several documents share here goes on once, with their number instead of a place.
     send = ~several | leads
-    sent_place = np.where(several, np.int64(-1), place)  # known as shared already
-    target = (hashes >> np.uint64(40)).astype(np.int64) % buckets
+    sent = np.where(several, -np.repeat(holders, size), place)
+    bucket = (hashes >> np.uint64(40)).astype(np.int64) % buckets
+    own_bucket = _mixed(doc.astype(np.uint64)).view(np.int64) % buckets
     rows: dict[int, list[bytes]] = {}
-    for slot, chosen, to, where in ((0, send, target, sent_place), (1, several, _mixed(doc.astype(np.uint64)).astype(np.int64) % buckets, place)):
+    for slot, chosen, to, where in ((0, send, bucket, sent), (1, several, own_bucket, place)):
         at = np.flatnonzero(chosen)
         at = at[np.lexsort((doc[at], to[at]))]
         edges = np.flatnonzero(np.concatenate([[True], to[at][1:] != to[at][:-1]])) if len(at) else []
         for a, b in zip(edges, [*edges[1:], len(at)]):
             own = at[a:b]
-            rows.setdefault(int(to[own[0]]), [b"", b""])[slot] = _packed(hashes[own], np.diff(doc[own], prepend=np.int64(0)), where[own])
+            high = (hashes[own] >> np.uint64(32)).astype(np.uint8)
+            rows.setdefault(int(to[own[0]]), [b"", b""])[slot] = _packed(hashes[own].astype(np.uint32), high, np.diff(doc[own], prepend=np.int64(0)), where[own])
     for bucket, (entries, known) in rows.items():
         yield bucket, entries, known
 
 
-def shared_entries(entries: Iterable[bytes], known: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, doc, place) of the entries whose hash occurs in several documents."""
-    read = [[h, np.cumsum(d), p] for h, d, p in (_unpacked(x, *_ENTRY) for x in entries if x)]
-    out = [[h, np.cumsum(d), p] for h, d, p in (_unpacked(x, *_ENTRY) for x in known if x)]
+def shared_entries(entries: Iterable[bytes], known: Iterable[bytes], often: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, place) of the entries whose anchor occurs in several documents, and the low hashes of anchors in more than
+    ``often`` of them."""
+    read = [(h | g.astype(np.uint64) << np.uint64(32), np.cumsum(d), p) for h, g, d, p in (_unpacked(x, *_ENTRY) for x in entries if x)]
+    out = [(np.cumsum(d), p) for _, _, d, p in (_unpacked(x, *_ENTRY) for x in known if x)]
+    hot = np.empty(0, np.uint64)
     if read:
         h, d, p = (np.concatenate([r[i] for r in read]) for i in range(3))
-        order = np.argsort(h, kind="stable")
+        order = np.lexsort((d, h))
         h, d, p = h[order], d[order], p[order]
         begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         size = np.diff(np.append(begin, len(h)))
-        shared = np.minimum.reduceat(d, begin) < np.maximum.reduceat(d, begin)
+        shared = d[begin] != d[begin + size - 1]
         keep = np.repeat(shared, size) & (p >= 0)
-        out.append([h[keep], d[keep], p[keep]])
-    if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+        out.append((d[keep], p[keep]))
+        first = np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])
+        holders = np.add.reduceat(np.where(p < 0, -p, first), begin)
+        hot = h[begin[holders > often]]
+    empty = np.empty(0, np.int64)
+    docs, places = (np.concatenate([empty, *[o[i] for o in out]]) for i in range(2))
+    return docs, places, hot
 
 
-def contexts_of(raw: bytes, hashes: list[int], places: list[int], hot: frozenset[int], length: int) -> Iterator[tuple[int, int, bytes]]:
-    """(key, first byte, context) of the flagged anchors of a text. Places beyond the text are those of another
+def contexts_of(raw: bytes, places: list[int], hot: frozenset[tuple[int, int]], buckets: int, length: int, gram: int) -> Iterator[tuple[int, int, bytes]]:
+    """(anchor's offset or _WINDOW, first byte, context) of the flagged anchors of a text. Places beyond the text are those of another
     row with the same id and are passed over."""
-    from xxhash import xxh64_intdigest
-
-    for anchor, place in zip(hashes, places):
+    hashes = gram_hashes(np.frombuffer(raw, np.uint8), gram) if hot and len(raw) >= gram else None
+    for place in places:
         first, count = place >> 16, place >> 8 & 255
         if first + count + length - 1 > len(raw):
             continue
-        if anchor in hot:
+        at = first + (place & 255)
+        if hashes is not None and _name(int(hashes[at]), buckets) in hot:
             for at in range(first, first + count):
-                window = raw[at : at + length]
-                yield xxh64_intdigest(window, 1) - (1 << 63), at, window
+                yield _WINDOW, at, raw[at : at + length]
         else:
-            yield anchor, first, raw[first : first + count + length - 1]
+            yield place & 255, first, raw[first : first + count + length - 1]
+
+
+def key_of(offset: int, context: bytes, gram: int) -> int:
+    """Where a context goes: by its anchor, or a lone window of a frequent anchor by itself."""
+    from xxhash import xxh64_intdigest
+
+    if offset == _WINDOW:
+        return xxh64_intdigest(context, 1)
+    return xxh64_intdigest(context[offset : offset + gram])
+
+
+def _name(anchor: int, buckets: int) -> tuple[int, int]:
+    """An anchor as entries name it: bucket and low bits."""
+    return (anchor >> 40) % buckets, anchor & (1 << 40) - 1
 
 
 def _digest(context: bytes) -> int:
@@ -298,19 +323,20 @@ def repeat_groups(contexts: list[bytes], low: np.ndarray, high: np.ndarray, leng
         yield of[later], begin[later], (begin + length_of)[later], least_of[later]
 
 
-def merged_contexts(packs: Iterable[tuple[bytes, bytes]]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+def merged_contexts(packs: Iterable[tuple[bytes, bytes]], gram: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
     """Distinct contexts by key: (key, context, smallest document, largest document)."""
     import zstandard
 
     held: dict[tuple[int, bytes], list[int]] = {}
     for numbers, raw in packs:
-        key, low, high, size = _unpacked(numbers, "<i8", "<i8", "<i8", "<i8")
+        offset, size, low, more = _unpacked(numbers, *_CONTEXT)
         data = zstandard.ZstdDecompressor().decompress(raw)
-        ends = np.cumsum(size).tolist()
+        ends = np.cumsum(size.astype(np.int64)).tolist()
         at = 0
-        for k, a, b, end in zip(key.tolist(), low.tolist(), high.tolist(), ends):
-            name = (k, data[at:end])
+        for o, a, b, end in zip(offset.tolist(), low.tolist(), (low + more).tolist(), ends):
+            context = data[at:end]
             at = end
+            name = (key_of(o, context, gram), context)
             old = held.get(name)
             if old is None:
                 held[name] = [a, b]
@@ -321,21 +347,22 @@ def merged_contexts(packs: Iterable[tuple[bytes, bytes]]) -> tuple[np.ndarray, l
                     old[1] = b
     names = sorted(held)
     bounds = np.array([held[n] for n in names], np.int64).reshape(-1, 2)
-    return np.array([n[0] for n in names], np.int64), [n[1] for n in names], bounds[:, 0], bounds[:, 1]
+    return np.array([n[0] for n in names], np.uint64), [n[1] for n in names], bounds[:, 0], bounds[:, 1]
 
 
-def removable(packs: Iterable[tuple[bytes, bytes]], length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(key, digest, begin, end, smallest document): what later occurrences of each context lose."""
-    key, contexts, low, high = merged_contexts(packs)
+def removable(packs: Iterable[tuple[bytes, bytes]], length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(check, digest, begin, end, smallest document): what later occurrences of each context lose."""
+    key, contexts, low, high = merged_contexts(packs, gram)
     if not contexts:
         return
+    check = key.astype(np.uint32).view(np.int32)
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(begin, len(key)))
     # Equal contexts were merged into one leaf: what their documents share is the whole context.
     lone = np.flatnonzero(low < high)
     if len(lone):
         yield (
-            key[lone],
+            check[lone],
             np.array([_digest(contexts[i]) for i in lone], np.int64),
             np.zeros(len(lone), np.int64),
             np.array([len(contexts[i]) for i in lone], np.int64),
@@ -349,7 +376,7 @@ def removable(packs: Iterable[tuple[bytes, bytes]], length: int) -> Iterator[tup
         for of, a, b, least in repeat_groups(some, low[chosen], high[chosen], length):
             used, back = np.unique(of, return_inverse=True)
             digests = np.array([_digest(some[u]) for u in used], np.int64)
-            yield key[chosen[of]], digests[back] if len(used) else np.empty(0, np.int64), a, b, least
+            yield check[chosen[of]], digests[back] if len(used) else np.empty(0, np.int64), a, b, least
 
 
 def spans_of(covers: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -374,28 +401,33 @@ def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     return _decided(docs, length, gram).select(F.nullif("doc", F.lit(_NO_ID).cast("long")).alias("doc_id"), "found.*")
 
 
-def _keys(rows: DataFrame) -> tuple[DataFrame, int, int, bool]:
-    """(doc, tie, text) of documents, bytes of text, rows, and whether ids are unique; a tie tells texts of one id apart."""
+def _keys(rows: DataFrame) -> tuple[DataFrame, list[str], int, int]:
+    """Keys and text of documents, the keys' names, bytes of text and rows.
+
+    `doc` orders documents. Only where ids repeat does a second key, `tie`, tell the texts of one id apart.
+    """
     order = F.coalesce("doc_id", F.lit(_NO_ID).cast("long"))
     text = F.coalesce("text", F.lit(""))
     seen = rows.select(F.sum(F.octet_length(text)).alias("b"), F.count("*").alias("n"), F.countDistinct(order).alias("d")).first()
-    unique = seen["n"] == seen["d"]
-    tie = F.lit(0).cast("long") if unique else F.xxhash64(text)
-    return rows.select(order.alias("doc"), tie.alias("tie"), text.alias("text")), seen["b"] or 0, seen["n"], unique
+    ties = [] if seen["n"] == seen["d"] else [F.xxhash64(text).alias("tie")]
+    return rows.select(order.alias("doc"), *ties, text.alias("text")), ["doc", *["tie"] * len(ties)], seen["b"] or 0, seen["n"]
 
 
 def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc, tie, found: (n_bytes, n_removed, n_spans, kept_sha256, kept); still partitioned by doc and tie."""
+    """Keys and found: (n_bytes, n_removed, n_spans, kept_sha256, kept); still partitioned by the keys."""
     import pandas as pd
     import pyarrow as pa
 
     spark = docs.sparkSession
-    keyed, total, count, _ = _keys(documents(docs))
+    if not 4 <= gram <= length < gram + 250:
+        raise ValueError("an anchor has at least 4 bytes, and a window fewer than 250 more")
+    keyed, keys, total, count = _keys(documents(docs))
+    often = max(HOT_LEAST, int(count * HOT_SHARE))
     buckets = max(2 * shuffle_partitions(spark), -(-total // GROUP))
 
-    digests = keyed.where(F.octet_length("text") >= length).select("doc", "tie", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    digests = keyed.where(F.octet_length("text") >= length).select(*keys, F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     earliest = digests.groupBy("sha").agg(F.min("doc").alias("least"))
-    copies = pinned(digests.join(earliest, "sha").where("doc > least").select("doc", "tie").distinct(), "copies")
+    copies = written(digests.join(earliest, "sha").where("doc > least").select(*keys).distinct(), "copies")
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
@@ -416,93 +448,94 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
         yield from flush()
 
     def flagged(group: pd.DataFrame) -> pd.DataFrame:
-        hashes, doc, place = shared_entries(group["entries"], group["known"])
-        return pd.DataFrame({"doc": doc, "hash": hashes.view(np.int64), "place": place})
+        doc, place, hot = shared_entries(group["entries"], group["known"], often)
+        mark = np.full(len(hot), _HOT, np.int64)
+        return pd.DataFrame(
+            {"doc": np.concatenate([doc, mark]), "place": np.concatenate([place, hot.view(np.int64)]), "bucket": np.concatenate([np.full(len(doc), -1), np.full(len(hot), group["bucket"].iloc[0])])}
+        )
 
-    fresh = keyed.join(copies, ["doc", "tie"], "left_anti")
+    fresh = keyed.join(copies, keys, "left_anti")
     sent = fresh.select("doc", "text").mapInArrow(anchored, "bucket int, entries binary, known binary")
-    flags = pinned(sent.groupBy("bucket").applyInPandas(flagged, "doc long, hash long, place long"), "anchors")
-    frequent = flags.groupBy("hash").count().where(F.col("count") > max(HOT_LEAST, int(count * HOT_SHARE)))
-    hot = frozenset(r["hash"] for r in frequent.select("hash").collect())
-    groups = max(2 * shuffle_partitions(spark), -(-flags.count() // (1 << 20)))
-
-    listed = flags.groupBy("doc").agg(F.collect_list(F.struct("hash", "place")).alias("anchors"))
-    marked = keyed.join(listed, "doc").select("doc", "tie", "text", F.col("anchors.hash").alias("hashes"), F.col("anchors.place").alias("places"))
+    flags = written(sent.groupBy("bucket").applyInPandas(flagged, "doc long, place long, bucket int"), "anchors")
+    frequent = flags.where(F.col("bucket") >= 0).select("bucket", "place").collect()
+    hot = frozenset((r["bucket"], r["place"]) for r in frequent)
+    listed = flags.where(F.col("bucket") < 0)
+    groups = max(2 * shuffle_partitions(spark), -(-listed.count() // (1 << 20)))
+    marked = keyed.join(listed.groupBy("doc").agg(F.collect_list("place").alias("places")), "doc").select(*keys, "text", "places")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         def flush():
-            import zstandard
-
-            names = sorted(held)
-            press = zstandard.ZstdCompressor(level=1).compress
-            bucket = _mixed(np.array([n[0] for n in names], np.int64).view(np.uint64)).view(np.int64) % groups
-            for to in np.unique(bucket):
-                own = [names[i] for i in np.flatnonzero(bucket == to)]
-                numbers = np.array([[n[0], *held[n], len(n[1])] for n in own], np.int64).T
-                out[0].append(int(to))
-                out[1].append(_packed(*numbers))
+            names = list(held)
+            press = zstandard.ZstdCompressor(level=3).compress
+            bucket = np.array([key_of(*n, gram) for n in names], np.uint64) % np.uint64(groups)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]]))
+            out: list[list] = [[], [], []]
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+                own = [names[i] for i in order[a:b]]
+                bounds = np.array([held[n] for n in own], "<i8")
+                offset, size = np.array([n[0] for n in own], np.uint8), np.array([len(n[1]) for n in own], np.uint16)
+                out[0].append(int(bucket[order[a]]))
+                out[1].append(_packed(offset, size, bounds[:, 0], bounds[:, 1] - bounds[:, 0]))
                 out[2].append(press(b"".join(n[1] for n in own)))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]], names=["bucket", "numbers", "contexts"])
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]], names=["bucket", "numbers", "contexts"])
 
         held: dict[tuple[int, bytes], list[int]] = {}
-        out: list[list] = [[], [], []]
-        size = 0
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc", "hashes", "places")]
-            for raw, doc, hashes, places in zip(texts_of(batch.column("text")), *columns):
-                for key, _, context in contexts_of(raw, hashes, places, hot, length):
-                    old = held.get((key, context))
+            columns = [batch.column(c).to_pylist() for c in ("doc", "places")]
+            for raw, doc, places in zip(texts_of(batch.column("text")), *columns):
+                for offset, _, context in contexts_of(raw, places, hot, buckets, length, gram):
+                    old = held.get((offset, context))
                     if old is None:
-                        held[key, context] = [doc, doc]
-                        size += 1
+                        held[offset, context] = [doc, doc]
                     elif doc < old[0]:
                         old[0] = doc
                     elif doc > old[1]:
                         old[1] = doc
-            if size >= 1 << 17:
-                yield from flush()
-                held, out, size = {}, [[], [], []], 0
+                if len(held) >= 1 << 17:
+                    yield flush()
+                    held.clear()
         if held:
-            yield from flush()
+            yield flush()
 
     def lost(group: pd.DataFrame) -> pd.DataFrame:
-        found = list(removable(zip(group["numbers"], group["contexts"]), length))
-        names = ("key", "digest", "a", "b", "least")
+        found = list(removable(zip(group["numbers"], group["contexts"]), length, gram))
+        names = ("check", "digest", "a", "b", "least")
         if not found:
             return pd.DataFrame({n: np.empty(0, np.int64) for n in names})
         return pd.DataFrame({n: np.concatenate([f[i] for f in found]) for i, n in enumerate(names)})
 
     packed = marked.mapInArrow(contexts, "bucket int, numbers binary, contexts binary")
-    losses = packed.groupBy("bucket").applyInPandas(lost, "key long, digest long, a int, b int, least long")
+    losses = packed.groupBy("bucket").applyInPandas(lost, "check int, digest long, a int, b int, least long")
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["check", "digest", *keys, "first"]
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            columns = [batch.column(c).to_pylist() for c in ("doc", "tie", "hashes", "places")]
-            for raw, doc, tied, hashes, places in zip(texts_of(batch.column("text")), *columns):
-                for key, first, context in contexts_of(raw, hashes, places, hot, length):
-                    out[0].append(key)
-                    out[1].append(_digest(context))
-                    out[2].append(doc)
-                    out[3].append(tied)
-                    out[4].append(first)
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in out[:4]], pa.array(out[4], pa.int32())], names=["key", "digest", "doc", "tie", "first"])
-
-    met = marked.mapInArrow(occurrences, "key long, digest long, doc long, tie long, first int")
+            out: list[list] = [[] for _ in names]
+            columns = [batch.column(c).to_pylist() for c in (*keys, "places")]
+            for raw, *row, places in zip(texts_of(batch.column("text")), *columns):
+                for offset, first, context in contexts_of(raw, places, hot, buckets, length, gram):
+                    for column, value in zip(out, (key_of(offset, context, gram), _digest(context), *row, first)):
+                        column.append(value)
+            check = np.array(out[0], np.uint64).astype(np.uint32).view(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(check), *[pa.array(c, pa.int64()) for c in out[1:-1]], pa.array(out[-1], pa.int32())], names=names)
+
+    met = marked.mapInArrow(occurrences, f"check int, digest long, {' long, '.join(keys)} long, first int")
     covers = (
-        met.join(losses, ["key", "digest"])
+        met.join(losses, ["check", "digest"])
         .where("doc > least")
-        .groupBy("doc", "tie")
-        .agg(F.collect_list(F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))).alias("covers"))
+        .groupBy(*keys)
+        .agg(F.collect_list((F.col("first") + F.col("a")).cast("long") * (1 << 16) + (F.col("b") - F.col("a"))).alias("covers"))
     )
-    decided = keyed.join(copies.withColumn("whole", F.lit(True)), ["doc", "tie"], "left").join(covers, ["doc", "tie"], "left")
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    def finished(texts, wholes, begins, ends):
+    def finished(texts, wholes, covers):
         out = []
-        for text, whole, a, b in zip(texts, wholes, begins, ends):
+        for text, whole, covered in zip(texts, wholes, covers):
             raw = text.encode()
-            spans = [(0, len(raw))] if whole is True else spans_of(zip(a, b)) if a is not None else []
+            spans = [(0, len(raw))] if whole is True else spans_of((x >> 16, (x >> 16) + (x & 65535)) for x in covered.tolist()) if covered is not None else []
             kept, at = [], 0
             for begin, end in spans:
                 kept.append(raw[at:begin])
@@ -512,8 +545,8 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     whole = copies.withColumn("whole", F.lit(True))
-    decided = keyed.join(whole, ["doc", "tie"], "left").join(covers, ["doc", "tie"], "left")
-    return decided.select("doc", "tie", finished("text", F.coalesce("whole", F.lit(False)), "covers.a", "covers.b").alias("found"))
+    decided = keyed.join(covers, keys, "left").join(whole, keys, "left")
+    return decided.select(*keys, finished("text", F.coalesce("whole", F.lit(False)), "covers").alias("found"))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -522,26 +555,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     A cut can split a character; its left-over bytes go too. Rows that lose every byte go; rows that lose nothing,
     empty and null texts among them, stay as they are.
     """
-    doc, tie, found = names = spare(docs, "dedup_doc", "dedup_tie", "dedup_found")
-    *_, unique = _keys(documents(docs))
+    doc, tie, found = spare(docs, "dedup_doc", "dedup_tie", "dedup_found")
+    _, keys, *_ = _keys(documents(docs))
     text = F.coalesce(F.col("`text`").cast("string"), F.lit(""))
     id_ = F.coalesce(F.col("`doc_id`").cast("long"), F.lit(_NO_ID).cast("long"))
     others = [c for c in docs.columns if c != "text"]
-    rest = docs.select(
-        *[F.col(f"`{c}`") for c in others],
-        F.col("`text`").isNull().alias(found),
-        id_.alias(doc),
-        (F.lit(0).cast("long") if unique else F.xxhash64(text)).alias(tie),
-    )
+    rest = docs.select(*[F.col(f"`{c}`") for c in others], F.col("`text`").isNull().alias(found), id_.alias(doc), F.xxhash64(text).alias(tie))
     decided = _decided(docs, length, gram)
-    if not unique:
-        decided = decided.dropDuplicates(["doc", "tie"])
-    joined = rest.join(decided, (F.col(doc) == decided["doc"]) & (F.col(tie) == decided["tie"]))
+    if len(keys) > 1:
+        decided = decided.dropDuplicates(keys)
+    on = F.col(doc) == decided["doc"]
+    joined = rest.join(decided, on & (F.col(tie) == decided["tie"]) if len(keys) > 1 else on)
     readable = F.pandas_udf(lambda raw: raw.map(lambda b: b.decode(errors="ignore")), "string")
     left = F.when(F.col(found), F.lit(None).cast("string")).otherwise(readable(decided["found.kept"]))
     kept = joined.where((decided["found.n_removed"] == 0) | (decided["found.n_removed"] < decided["found.n_bytes"]))
     out = kept.select(*[F.col(f"`{c}`") for c in others], left.alias("text"))
     if "n_chars" in others:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    del names
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

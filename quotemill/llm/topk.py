@@ -14,8 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import pinned
-from .common import small_batches
+from .common import small_batches, written
 
 #: Bits of the score that one pass settles; queries of a block; vectors scored at once.
 RADIX = 10
@@ -68,10 +67,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
     candidates. Rows that repeat an id are candidates each; they ask once, with the smallest of their vectors, and
     never find each other. A table without queries or vectors gives no rows.
     """
-    rows = pinned(scaled(vectors, id_column, vector_column, scale), "vectors")
+    rows = written(scaled(vectors, id_column, vector_column, scale), "vectors")
     spark = vectors.sparkSession
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = pinned(asked.withColumn("dim", F.size("v")), "queries")
+    asked = written(asked.withColumn("dim", F.size("v")), "queries")
     parts = []
     for dim, count in sorted((r["dim"], r["n"]) for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()):
         own = asked.where(F.col("dim") == dim)
