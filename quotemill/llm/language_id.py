@@ -25,6 +25,8 @@ class Settings:
     docs_per_language, sample_chars: the fit takes at most so many documents of a language, and at most so many
     characters of each. All other work covers whole texts of all documents.
     piece: bytes compressed at once, so that the dictionary, not a long text's own past, decides.
+    short: a text of at most so many bytes that two languages compress equally well is compared again by the sum over all
+    its word-wise suffixes, which tells finer differences.
     margin: least share by which the best size must lie below the second best.
     """
 
@@ -32,7 +34,8 @@ class Settings:
     sample_chars: int = 4096
     dictionary_bytes: int = 96 * 1024
     piece: int = 4096
-    level: int = 3
+    level: int = 9
+    short: int = 512
     margin: float = 0.002
 
 
@@ -53,8 +56,17 @@ def fit(labelled: DataFrame, settings: Settings = DEFAULT) -> dict[str, bytes]:
     chosen = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.docs_per_language)
     texts: dict[str, list[bytes]] = {}
     for row in chosen.select("lang", F.substring("text", 1, settings.sample_chars).alias("text")).orderBy("lang", "text").collect():
-        texts.setdefault(row["lang"], []).append(row["text"].lower().encode())
-    return {lang: b"\n".join(dict.fromkeys(found))[-settings.dictionary_bytes :] for lang, found in sorted(texts.items())}
+        texts.setdefault(row["lang"], []).append(bare(row["text"]))
+    return {lang: b" ".join(dict.fromkeys(found))[-settings.dictionary_bytes :] for lang, found in sorted(texts.items())}
+
+
+#: ASCII without letters: marks and digits are alike in all languages.
+_SPACES = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
+
+
+def bare(text: str) -> bytes:
+    """Lower case, one blank between words, without ASCII marks and digits."""
+    return b" ".join(text.lower().encode().translate(_SPACES).split())
 
 
 class Sizer:
@@ -65,7 +77,7 @@ class Sizer:
         import zstandard
 
         self.letter = regex.compile(r"\p{L}").search
-        self.piece, self.margin = settings.piece, settings.margin
+        self.piece, self.short, self.margin = settings.piece, settings.short, settings.margin
         self.names = list(dictionaries)
         self.coders = []
         for raw in dictionaries.values():
@@ -84,9 +96,13 @@ class Sizer:
         text = raw.decode()
         if not self.letter(text):
             return UNDETERMINED, 0.0, True
-        raw = text.lower().encode()
+        raw = bare(text)
         pieces = [raw[i : i + self.piece] for i in range(0, len(raw), self.piece)]
         sizes = [sum(map(len, map(code, pieces))) for code in self.coders]
+        if len(raw) <= self.short and sizes.count(min(sizes)) > 1:
+            words = raw.split(b" ")
+            pieces = [b" ".join(words[i:]) for i in range(len(words))]
+            sizes = [sum(map(len, map(code, pieces))) for code in self.coders]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         rest = min((s for i, s in enumerate(sizes) if i != best), default=None)
         if rest is None:

@@ -1,7 +1,7 @@
 """Quality classifier with supervised subword embeddings.
 
-A text is the mean of learned vectors of its words and of their character n-grams, all hashed into one table; a
-softmax over two classes follows. Training is stochastic gradient descent in numpy over a bounded sample of labelled
+A text is the mean of learned vectors of its words, of their character n-grams, and of one mark for each word that
+repeats the word before it, all hashed into one table; a softmax over two classes follows. Training is stochastic gradient descent in numpy over a bounded sample of labelled
 documents. The model is linear in the mean, so scoring needs one number per distinct word.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp
+from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -32,7 +33,7 @@ class Settings:
     dim: int = 16
     grams: tuple[int, ...] = (3, 4)
     epochs: int = 4
-    rate: float = 0.5
+    rate: float = 0.3
     seed: int = 7
 
 
@@ -58,6 +59,13 @@ def features(word: bytes, settings: Settings) -> list[int]:
     return out
 
 
+def repeat_mark(settings: Settings) -> int:
+    """Bucket of the mark; no word has this form."""
+    from zlib import crc32
+
+    return crc32(b"< >") % settings.buckets
+
+
 def sample(docs: DataFrame, labels: DataFrame, settings: Settings = DEFAULT) -> list[tuple[bytes, int]]:
     """Texts and classes for the fit, the smallest hashes of ids first; the same on every run."""
     marks = labels.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`quality`").cast("int").alias("quality")).where("quality IN (0, 1) AND doc_id IS NOT NULL")
@@ -81,11 +89,13 @@ def train(examples: list[tuple[bytes, int]], settings: Settings = DEFAULT) -> Mo
     bags = []
     for raw, _ in examples:
         held: list[int] = []
-        for word in raw.split():
+        words = raw.split()
+        for word in words:
             ids = known.get(word)
             if ids is None:
                 ids = known[word] = features(word, settings)
             held += ids
+        held += [repeat_mark(settings)] * sum(map(eq, words, words[1:]))
         ids, times = np.unique(np.array(held, np.int64), return_counts=True)
         bags.append((ids, (times / max(1, times.sum())).astype(np.float32)))
     rng = np.random.default_rng(settings.seed)
@@ -104,12 +114,13 @@ def train(examples: list[tuple[bytes, int]], settings: Settings = DEFAULT) -> Mo
             odds = np.exp(logits - logits.max())
             error = -odds / odds.sum()
             error[classes[i]] += 1
-            error *= rate * min(4.0, float(weight[classes[i]]))
+            error *= rate * float(weight[classes[i]])
             back = out @ error
             out += np.outer(hidden, error)
             shift += 0.1 * error
-            # Each feature's step is scaled by its share, and by the number of features, as in a sum over tokens.
-            table[ids] += (share * len(ids))[:, None].clip(0, 4) * back
+            # Steps in proportion to shares, scaled so that the mean itself moves by ``back``.
+            if len(ids):
+                table[ids] += (share / (share @ share))[:, None] * back
     return Model((table @ (out[:, 1] - out[:, 0])).astype(np.float64), float(shift[1] - shift[0]), settings)
 
 
@@ -118,6 +129,7 @@ class _Known(dict):
 
     def __init__(self, model: Model):
         self.weights, self.settings = model.weights.tolist(), model.settings
+        self.mark = complex(self.weights[repeat_mark(model.settings)], 1)
 
     def __missing__(self, word: bytes) -> complex:
         ids = features(word, self.settings)
@@ -129,7 +141,7 @@ def score_text(raw: bytes | None, known: _Known, bias: float) -> float:
     words = raw.split() if raw else []
     if len(known) > REMEMBERED:
         known.clear()
-    total = sum(map(known.__getitem__, words), 0j)
+    total = sum(map(known.__getitem__, words), 0j) + known.mark * sum(map(eq, words, words[1:]))
     logit = bias + (total.real / total.imag if words else 0.0)
     return 1 / (1 + exp(-max(-40.0, min(40.0, logit))))
 

@@ -555,21 +555,22 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     A cut can split a character; its left-over bytes go too. Rows that lose every byte go; rows that lose nothing,
     empty and null texts among them, stay as they are.
     """
-    doc, tie, found = spare(docs, "dedup_doc", "dedup_tie", "dedup_found")
+    doc, tie, null, to, to_tie, found = spare(docs, "cut_doc", "cut_tie", "cut_null", "cut_of", "cut_of_tie", "cut_found")
     _, keys, *_ = _keys(documents(docs))
     text = F.coalesce(F.col("`text`").cast("string"), F.lit(""))
     id_ = F.coalesce(F.col("`doc_id`").cast("long"), F.lit(_NO_ID).cast("long"))
     others = [c for c in docs.columns if c != "text"]
-    rest = docs.select(*[F.col(f"`{c}`") for c in others], F.col("`text`").isNull().alias(found), id_.alias(doc), F.xxhash64(text).alias(tie))
+    rest = docs.select(*[F.col(f"`{c}`") for c in others], F.col("`text`").isNull().alias(null), id_.alias(doc), F.xxhash64(text).alias(tie))
     decided = _decided(docs, length, gram)
     if len(keys) > 1:
         decided = decided.dropDuplicates(keys)
-    on = F.col(doc) == decided["doc"]
-    joined = rest.join(decided, on & (F.col(tie) == decided["tie"]) if len(keys) > 1 else on)
+    decided = decided.select(*[F.col(k).alias(n) for k, n in zip(keys, (to, to_tie))], F.col("found").alias(found))
+    on = F.col(doc) == F.col(to)
+    joined = rest.join(decided, on & (F.col(tie) == F.col(to_tie)) if len(keys) > 1 else on)
     readable = F.pandas_udf(lambda raw: raw.map(lambda b: b.decode(errors="ignore")), "string")
-    left = F.when(F.col(found), F.lit(None).cast("string")).otherwise(readable(decided["found.kept"]))
-    kept = joined.where((decided["found.n_removed"] == 0) | (decided["found.n_removed"] < decided["found.n_bytes"]))
-    out = kept.select(*[F.col(f"`{c}`") for c in others], left.alias("text"))
+    left = F.when(F.col(null), F.lit(None).cast("string")).otherwise(readable(F.col(found)["kept"]))
+    lost, size = F.col(found)["n_removed"], F.col(found)["n_bytes"]
+    out = joined.where((lost == 0) | (lost < size)).select(*[F.col(f"`{c}`") for c in others], left.alias("text"))
     if "n_chars" in others:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
