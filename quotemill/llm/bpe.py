@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import documents, texts_of
 
 #: Pre-tokens whose ids a worker remembers; when full, it starts afresh. A matter of speed alone.
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -28,48 +28,6 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines())}
 
 
-class RankQueue:
-    """Positions by rank; the lowest rank comes first, and its leftmost position."""
-
-    def __init__(self, ranks: int):
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.middle = [0] * ((ranks >> 12) + 1)
-        self.high = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.middle[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.high |= 1 << (rank >> 12)
-
-    def pop(self) -> tuple[int, int] | None:
-        """(rank, position), or None when empty."""
-        high = self.high
-        if not high:
-            return None
-        i = (high & -high).bit_length() - 1
-        bits = self.middle[i]
-        i = i << 6 | (bits & -bits).bit_length() - 1
-        bits = self.low[i]
-        rank = i << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[i] &= self.low[i] - 1
-            if not self.low[i]:
-                i >>= 6
-                self.middle[i] &= self.middle[i] - 1
-                if not self.middle[i]:
-                    self.high &= self.high - 1
-        return rank, position
-
-
 class Codec:
     """Encoder and decoder for one vocabulary."""
 
@@ -78,7 +36,10 @@ class Codec:
 
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values()) + 1)
+        # The maps are empty between pre-tokens: bit r of the low map says that bucket r holds something, and a bit
+        # of a map above says that the word below it does.
+        self.low = [0] * ((max(ranks.values()) >> 6) + 1)
+        self.middle = [0] * ((max(ranks.values()) >> 12) + 1)
         self.token = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token[rank] = token
@@ -90,39 +51,57 @@ class Codec:
         if whole is not None:
             return [whole]
         size = len(piece)
-        rank_of, queue = self.ranks.get, self.queue
-        push, pop = queue.push, queue.pop
+        rank_of, low, middle, high = self.ranks.get, self.low, self.middle, 0
+        buckets: dict[int, list[int]] = {}
         # Node i starts at byte i; after[i] is where it ends and the next begins, before[i] the start of the one before.
         after = list(range(1, size + 1))
         before = list(range(-1, size - 1))
-        waiting = [-1] * size
-        for i in range(size - 1):
-            rank = rank_of(piece[i : i + 2])
-            if rank is not None:
-                waiting[i] = rank
-                push(rank, i)
-        while (top := pop()) is not None:
-            rank, i = top
+        waiting = [rank_of(piece[i : i + 2], -1) for i in range(size - 1)]
+        waiting.append(-1)
+        for i, rank in enumerate(waiting):
+            if rank >= 0:
+                if rank in buckets:
+                    buckets[rank].append(i)  # ascending, so the list is a heap
+                else:
+                    buckets[rank] = [i]
+                    low[rank >> 6] |= 1 << (rank & 63)
+                    middle[rank >> 12] |= 1 << (rank >> 6 & 63)
+                    high |= 1 << (rank >> 12)
+        while high:
+            top = (high & -high).bit_length() - 1
+            bits = middle[top]
+            word = top << 6 | (bits & -bits).bit_length() - 1
+            bits = low[word]
+            rank = word << 6 | (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = buckets.pop(rank)[0]
+                low[word] = bits & bits - 1
+                if not low[word]:
+                    middle[top] &= middle[top] - 1
+                    if not middle[top]:
+                        high &= high - 1
             if waiting[i] != rank:
-                continue
+                continue  # an earlier merge changed this pair
             j = after[i]
-            end = after[j]
-            after[i] = end
+            end = after[i] = after[j]
             waiting[i] = waiting[j] = -1
             if end < size:
                 before[end] = i
-                rank = rank_of(piece[i : after[end]])
-                if rank is not None:
-                    waiting[i] = rank
-                    push(rank, i)
-            k = before[i]
-            if k >= 0:
-                rank = rank_of(piece[k:end])
-                if rank is None:
-                    waiting[k] = -1
-                elif waiting[k] != rank:
-                    waiting[k] = rank
-                    push(rank, k)
+            for k, stop in ((i, after[end] if end < size else 0), (before[i], end)):
+                if k < 0 or not stop:
+                    continue
+                rank = waiting[k] = rank_of(piece[k:stop], -1)
+                if rank >= 0:
+                    if rank in buckets:
+                        heappush(buckets[rank], k)
+                    else:
+                        buckets[rank] = [k]
+                        low[rank >> 6] |= 1 << (rank & 63)
+                        middle[rank >> 12] |= 1 << (rank >> 6 & 63)
+                        high |= 1 << (rank >> 12)
         out, i = [], 0
         ranks = self.ranks
         while i < size:
