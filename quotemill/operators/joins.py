@@ -31,8 +31,8 @@ def _shuffle_partitions(spark: SparkSession) -> int:
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    return int(text.rstrip("bB"))
+    """The threshold as Spark itself parses it, with whatever unit it was set."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def planned_bytes(df: DataFrame) -> int:

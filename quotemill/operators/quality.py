@@ -41,7 +41,8 @@ def currency_malformed() -> Column:
 
 def in_future(today: object) -> Column:
     """On or after the given day."""
-    return F.coalesce(F.col("TradingDate") >= F.lit(today).cast("date"), F.lit(False))
+    # The bare comparison, so that a filter by it reaches the scan; an unknown day is dropped or not counted either way.
+    return F.col("TradingDate") >= F.lit(today).cast("date")
 
 
 def nonpositive(columns: Sequence[str] = PRICE_COLUMNS) -> Column:

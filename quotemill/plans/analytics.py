@@ -136,7 +136,8 @@ def rolling_marketcap(
 def rolling_marketcap_monthly(
     t: Tables, rank: int = TOP_RANK, months: int = ROLLING_ROWS, limit: int = 10
 ) -> DataFrame:
-    """The same question with true months: the mean of each month, then of three months in a row."""
+    """The same question with true months: the mean of each month, then over three calendar months, of those that
+    have quotes."""
     companies = ranked_companies(t, rank, "Industry")
     month = F.floor(F.col("DateKey") / 100).cast("int")
     quotes = t["FactStock"].select("DateKey", "CompanyKey", "MarketCap")
@@ -145,7 +146,8 @@ def rolling_marketcap_monthly(
         .groupBy("Industry", month.alias("_month"))
         .agg(F.avg("MarketCap").alias("_mean"))
     )
-    frame = Window.partitionBy("Industry").orderBy("_month").rowsBetween(1 - months, Window.currentRow)
+    ordinal = F.floor(F.col("_month") / 100) * 12 + F.col("_month") % 100
+    frame = Window.partitionBy("Industry").orderBy(ordinal).rangeBetween(1 - months, Window.currentRow)
     out = monthly.select(
         "Industry",
         F.floor(F.col("_month") / 100).cast("int").alias("Year"),

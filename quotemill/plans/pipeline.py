@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators.dedup import last_version
+from ..operators.joins import lookup_join
 from ..operators.scd2 import expose, read_snapshot, store_snapshot
 from ..operators.sinks import append_typed
 from ..operators.upsert import (
@@ -17,6 +19,8 @@ from ..operators.upsert import (
     delete_insert_months,
     insert_absent,
     latest_day,
+    months_of,
+    read_months,
     write_months,
 )
 from ..schemas import (
@@ -33,6 +37,10 @@ from . import silver
 from .warehouse import Warehouse
 
 
+# What one quote of the fact is known by, whatever company it was matched to.
+DAY_KEYS = ["DateKey", "TickerKey"]
+
+
 @dataclass(frozen=True)
 class Run:
     """What one run is given. Clocks are never read: ``as_of`` stamps versions and checks."""
@@ -107,15 +115,26 @@ def build_silver(run: Run, months: list[int] | None) -> tuple[DataFrame, DataFra
     return companies, stocks
 
 
+def tickers_concerned(run: Run, stocks: DataFrame) -> DataFrame:
+    """Every stored quote of the batch's tickers, so that a late quote cannot turn a dimension back.
+
+    One scan of bronze over all months; columns the dimension does not need are pruned.
+    """
+    known = run.warehouse.read("bronze", "stocks_raw").drop(MONTH)
+    tickers = stocks.select("ticker_symbol").distinct()
+    return silver.stocks_view(lookup_join(known, tickers, ["ticker_symbol"], "left_semi"))
+
+
 def build_snapshots(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
     wh = run.warehouse
+    history = tickers_concerned(run, stocks)
     staged = {
         "DimCompany": (
             silver.dim_company(silver.last_companies(companies), run.keys, run.as_of),
             "CompanyKey", COMPANY_CHECK_COLUMNS,
         ),
         "DimTicker": (
-            silver.dim_ticker(silver.last_tickers(stocks), run.keys, loaded_at=run.as_of),
+            silver.dim_ticker(silver.last_tickers(history), run.keys, loaded_at=run.as_of),
             "TickerKey", TICKER_CHECK_COLUMNS,
         ),
     }
@@ -137,8 +156,14 @@ def build_marts(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
 
     def fact() -> None:
         path, sort = wh.path("gold", "FactStock"), GOLD_SORT_KEYS["FactStock"]
-        batch = silver.fact_stock(stocks, companies, run.keys)
+        # One row per key: the last quote of a ticker's day.
+        daily = last_version(stocks, ["ticker_symbol", "exchange", "trading_day"], ["execution_date_utc"])
+        batch = silver.fact_stock(daily, companies, run.keys)
         if wh.exists("gold", "FactStock"):
+            # A quote that is stored under its company of that time stays there when the company is renamed.
+            stored = read_months(wh.spark, path, months_of(daily, "trading_day"), batch.schema).select(*DAY_KEYS, "CompanyKey")
+            moved = lookup_join(batch, stored.withColumnRenamed("CompanyKey", "_stored"), DAY_KEYS, "left")
+            batch = moved.where("_stored IS NULL OR _stored = CompanyKey").drop("_stored")
             delete_insert_months(wh.spark, path, batch, STOCK_KEYS, "TradingDate", sort)
         else:
             write_months(batch, path, "TradingDate", sort)

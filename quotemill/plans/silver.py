@@ -16,9 +16,12 @@ SECTOR_PLACEHOLDER = "sector"
 TICKER_CLASS = "Equity"
 
 
-def companies_view(raw: DataFrame) -> DataFrame:
-    """Last version per rank, then last per company, headquarters and year."""
-    by_rank = last_version(raw, ["rank"], [VERSION])
+def companies_view(raw: DataFrame, rank_only: bool = False) -> DataFrame:
+    """Last version per rank and year, then last per company, headquarters and year.
+
+    ``rank_only`` is the original's form: one row per rank, so that a new year's ranking replaces the year before.
+    """
+    by_rank = last_version(raw, ["rank"] if rank_only else ["rank", "financial_year"], [VERSION])
     return last_version(by_rank, ["company", "headquarters", "financial_year"], [VERSION]).drop(VERSION)
 
 

@@ -327,6 +327,11 @@ ORACLE: dict[str, str] = {
         SELECT {COMPANY_COLUMNS} FROM (
             SELECT * FROM {{company_versions}} QUALIFY row_number() OVER (PARTITION BY rank ORDER BY version DESC) = 1)
         QUALIFY row_number() OVER (PARTITION BY company, headquarters, financial_year ORDER BY version DESC) = 1""",
+    "view_companies_years": f"""
+        SELECT {COMPANY_COLUMNS} FROM (
+            SELECT * FROM {{company_versions}}
+            QUALIFY row_number() OVER (PARTITION BY rank, financial_year ORDER BY version DESC) = 1)
+        QUALIFY row_number() OVER (PARTITION BY company, headquarters, financial_year ORDER BY version DESC) = 1""",
     "view_stocks": f"SELECT {STOCK_COLUMNS} FROM {{stocks_view}}",
     "stg_dim_company": "SELECT * FROM {dim_company}",
     "stg_dim_date": "SELECT * FROM {dim_date}",
@@ -440,8 +445,8 @@ ORACLE: dict[str, str] = {
         WITH monthly AS (SELECT industry, {YEAR_MONTH}, avg(market_cap) AS m FROM {{quotes}} WHERE rank <= 20
                          GROUP BY ALL)
         SELECT industry AS "Industry", "Year", "Month",
-               round(avg(m) OVER (PARTITION BY industry ORDER BY "Year", "Month"
-                                  ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS avg_3m_marketcap
+               round(avg(m) OVER (PARTITION BY industry ORDER BY "Year" * 12 + "Month"
+                                  RANGE BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS avg_3m_marketcap
         FROM monthly ORDER BY 4 DESC NULLS LAST, 1, 2, 3 LIMIT 10""",
     "q2_pe_top10": f"""
         SELECT {YEAR_MONTH}, {ints(("day(trading_day)", "Day"))}, company AS "CompanyName", industry AS "Industry",

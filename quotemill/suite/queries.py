@@ -333,6 +333,11 @@ def dedup_last_version(spark, sf):
 
 @register()
 def view_companies(spark, sf):
+    return silver.companies_view(sample.company_versions(spark, sf), rank_only=True)
+
+
+@register()
+def view_companies_years(spark, sf):
     return silver.companies_view(sample.company_versions(spark, sf))
 
 

@@ -97,7 +97,7 @@ def test_dimensions_follow_the_latest_state(spark, inputs):
             for c in stocks.columns
         ]
     )
-    years = companies.withColumn("financial_year", F.lit(2024)).withColumn("rank", F.col("rank") + 100_000)
+    years = companies.withColumn("financial_year", F.lit(2024))  # the same ranks again
     both = companies.unionByName(years.withColumn("industry", F.lit("ZZZ")))
     wh = Warehouse(spark, fresh_path(spark, "latest"))
     run_pipeline(Run(wh, "2025-01-02 00:00:00"), both, quote("2024-05-02", "USD").union(quote("2024-05-20", "EUR")))
@@ -164,3 +164,38 @@ def test_stream_upsert_replaces_keys(spark, path):
     stream = jobs.read_files(spark, f"{path}/feed", frame((day, 1, "")).schema)
     jobs.upsert_gold(stream, wh, "T", ["TradingDate", "k"], "TradingDate", f"{path}/checkpoint")
     assert rows(read_months(spark, target)) == [(late, 2, "a"), (late, 3, "b"), (day, 1, "b")]
+
+
+def quote_of(stocks, day, hour, currency, close=1.0):
+    one = stocks.where("ticker_symbol = 'T1'").orderBy("trading_day").limit(1)
+    stamp = F.lit(f"{day} {hour}:00:00").cast("timestamp")
+    changes = {"exchange": F.lit("X"), "currency": F.lit(currency), "trading_day": F.lit(day).cast("date"), "execution_date_utc": stamp}
+    return one.select(*[changes.get(c, F.col(c)).alias(c) for c in stocks.columns])
+
+
+def test_late_quote_does_not_turn_a_ticker_back(spark, inputs):
+    companies, stocks = inputs
+    wh = Warehouse(spark, fresh_path(spark, "late"))
+    run_pipeline(Run(wh, "2025-01-02 00:00:00"), companies, quote_of(stocks, "2024-05-02", 10, "EUR"))
+    run_pipeline(Run(wh, "2025-01-03 00:00:00"), companies, quote_of(stocks, "2023-01-10", 10, "USD"))
+    gold = wh.gold()
+    assert [(r.Currency, r.ValidTo) for r in gold["DimTicker"].collect()] == [("EUR", None)]
+    assert gold["FactStock"].count() == 2
+
+
+def test_renamed_company_keeps_its_stored_quotes_once(spark, inputs):
+    companies, stocks = inputs
+    wh = Warehouse(spark, fresh_path(spark, "renamed"))
+    run_pipeline(Run(wh, "2025-01-02 00:00:00"), companies, quote_of(stocks, "2024-05-02", 10, "EUR"))
+    later = companies.withColumn("company", F.concat("company", F.lit(" Renamed"))).withColumn("_ingested_at", F.lit("2030-01-01").cast("timestamp"))
+    run_pipeline(Run(wh, "2025-01-03 00:00:00"), later, quote_of(stocks, "2024-05-15", 10, "EUR"))
+    days = [r.DateKey for r in wh.gold()["FactStock"].orderBy("DateKey").collect()]
+    assert days == [20240502, 20240515]
+
+
+def test_two_quotes_of_a_day_give_one_row(spark, inputs):
+    companies, stocks = inputs
+    wh = Warehouse(spark, fresh_path(spark, "twice"))
+    both = quote_of(stocks, "2024-05-02", 10, "EUR").union(quote_of(stocks, "2024-05-02", 22, "EUR"))
+    run_pipeline(Run(wh, "2025-01-02 00:00:00"), companies, both)
+    assert wh.gold()["FactStock"].count() == 1

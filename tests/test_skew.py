@@ -95,3 +95,16 @@ def test_group_counts_of_a_heavy_group(spark, skewed, no_broadcast):
     sizes = stocks.groupBy("ticker_symbol").count()
     assert same(counted.select("ticker_symbol", "n").distinct(), sizes)
     assert counted.count() == stocks.count()
+
+
+def test_broadcast_threshold_in_any_unit(spark):
+    from quotemill.operators.joins import _broadcast_limit
+
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        for text, size in (("10m", 10 << 20), ("50MB", 50 << 20), ("104857600", 104857600), ("-1", -1)):
+            spark.conf.set(name, text)
+            assert _broadcast_limit(spark) == size
+    finally:
+        spark.conf.set(name, before)
