@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, word_count
+from .common import documents, spare, word_count, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Hex digits of the key that name a range; 256 ranges of each source.
@@ -70,7 +70,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0,
     id, source and text stand next to each other in the order; they are told apart by nothing, so which of them is
     cut does not change the result as a set. An empty table gives no rows.
     """
-    rows = sizes(docs, seed)
+    rows = written(sizes(docs, seed), "sizes")  # used three times; a few bytes a document, without texts
     plan = budgets(
         rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, share=share, most_epochs=most_epochs
     )
@@ -110,7 +110,7 @@ def repeat_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     The texts stay whole, so the one document that a budget cuts is taken if at least half of its words are.
     Documents without words are no part of a mix and go.
     """
-    id_, source, digest, times, number = spare_names = _names(docs)
+    id_, source, digest, times, number = names = spare(docs, "mix_id", "mix_source", "mix_text", "mix_times", "mix_number")
     decided = mix(docs, weights=weights, share=share, most_epochs=most_epochs, seed=seed).where("size > 0")
     decided = decided.groupBy("doc_id", "source", "text_hash").agg(
         F.sum("taken").alias("taken"), F.min("size").alias("size"), F.count("*").alias("rows")
@@ -127,10 +127,4 @@ def repeat_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
         & (hashed == F.col(digest)),
     )
     repeated = joined.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(times))))
-    return repeated.drop(*spare_names)
-
-
-def _names(docs: DataFrame) -> list[str]:
-    from .common import spare
-
-    return spare(docs, "mix_id", "mix_source", "mix_text", "mix_times", "mix_number")
+    return repeated.drop(*names)
