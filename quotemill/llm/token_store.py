@@ -173,6 +173,17 @@ class Encoder:
                 self.known[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
 
 
+_ENCODERS: dict[tuple[str, int, str], Encoder] = {}
+
+
+def encoder_of(path: str, end: int, kind: type) -> Encoder:
+    """One encoder per tokenizer file and worker, so that a worker's later tasks find the words of its earlier ones."""
+    key = (path, end, np.dtype(kind).str)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, end, kind)
+    return _ENCODERS[key]
+
+
 def vocabulary_bits(path: str) -> int:
     from tokenizers import Tokenizer
 
@@ -200,7 +211,7 @@ def write(docs: DataFrame, path: str, target: str, end: int = 2) -> None:
         from pyspark import TaskContext
 
         press = zstandard.ZstdCompressor(level=1).compress
-        encoder = Encoder(path, end, kind)
+        encoder = encoder_of(path, end, kind)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         coded: list[bytes] = []
