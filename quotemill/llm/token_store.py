@@ -7,6 +7,8 @@ set bits. From a shard alone a token can be read, counted, or found by occurrenc
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,6 @@ REMEMBERED = 1_000_000
 #: Bits between entries of the directory.
 STRIDE = 512
 
-_PART = b"\x01"
 _KEYS = "part int, seq int"
 SHARD_SCHEMA = f"{_KEYS}, doc_ids binary, id_null binary, lengths binary, n_tokens long, bits int, zeros array<long>, planes array<binary>, directory array<binary>"
 
@@ -128,6 +129,18 @@ class WaveletMatrix:
         return ids
 
 
+# How the public tokenizer files served here normalise and split texts.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLITS = ["Split", "ByteLevel"]
+_SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: Words of printable ASCII and the letters of Latin-1: they are in normal form already, and lower-case letter by letter.
+_SIMPLE = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+#: The split pattern on such words, lower-cased.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+").findall
+
+
 class Encoder:
     """Ids of texts by a public tokenizer that never joins what white space parts.
 
@@ -136,41 +149,82 @@ class Encoder:
     """
 
     def __init__(self, path: str, end: int, kind: type):
+        self.words = _Words(path, kind)
+        self.end = np.array([end], kind).tobytes()
+
+    def encode(self, text: bytes | None) -> bytes:
+        """Ids of a text and the end id, as bytes."""
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+            self.words.pieces.clear()
+        return b"".join(map(self.words.__getitem__, text.split() if text else ())) + self.end
+
+
+class _Words(dict):
+    """Ids of words met before.
+
+    If the file's rules are the known ones, a simple word is cut into its pieces here and the library's model encodes each
+    new piece; every other word goes through the whole library.
+    """
+
+    def __init__(self, path: str, kind: type):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.end, self.kind = np.array([end], kind).tobytes(), kind
-        self.known: dict[bytes, bytes] = {}
-        (self.part,) = self.tokenizer.encode(_PART.decode(), add_special_tokens=False).ids
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        words = [t.split() if t else [] for t in texts]
-        new = set().union(*words) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*words)
-        self._learn(list(new))
-        known = self.known.__getitem__
-        return [b"".join(map(known, own)) + self.end for own in words]
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Encode words many at a time, parted by a word of one control character, whose id comes from nothing else."""
-        plain = [w for w in new if _PART not in w]
-        for at in range(0, len(plain), 2048):
-            some = plain[at : at + 2048]
-            joined = f" {_PART.decode()} ".join(w.decode() for w in some)
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.int64)
-            ends = [*np.flatnonzero(ids == self.part).tolist(), len(ids)]
-            coded, size, begin = ids.astype(self.kind).tobytes(), self.kind().itemsize, 0
-            for word, end in zip(some, ends):
-                self.known[word] = coded[begin * size : end * size]
-                begin = end + 1
-        for word in new:
-            if _PART in word:
-                self.known[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+        tokenizer = Tokenizer.from_file(path)
+        self.whole, self.kind = tokenizer.encode, kind
+        self.cut, self.pieces = _known_rules(path), _Pieces(tokenizer, kind)
+        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE).search
+
+    def __missing__(self, raw: bytes) -> bytes:
+        word = raw.decode()
+        if not self.cut or not _SIMPLE(word) or self.added(word):
+            ids = np.array(self.whole(word, add_special_tokens=False).ids, self.kind).tobytes()
+        elif word.isalpha():
+            ids = self.pieces[word.lower()]
+        else:
+            ids = b"".join(map(self.pieces.__getitem__, _PIECES(word.lower())))
+        self[raw] = ids
+        return ids
+
+
+def _known_rules(path: str) -> bool:
+    """Whether a tokenizer file normalises and splits by the fixed values above."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    normal, split = rules["normalizer"] or {}, rules["pre_tokenizer"] or {}
+    if [n["type"] for n in normal.get("normalizers", [])] != _NORMALIZERS:
+        return False
+    cuts = split.get("pretokenizers", [])
+    if [c["type"] for c in cuts] != _SPLITS or rules.get("post_processor"):
+        return False
+    cut, level = cuts
+    return (
+        normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+        and (cut["pattern"], cut["behavior"], cut["invert"]) == ({"Regex": _SPLIT_PATTERN}, "Removed", True)
+        and not level["add_prefix_space"]
+        and not level["use_regex"]
+    )
+
+
+class _Pieces(dict):
+    """Ids of lower-cased pieces met before; the library's model encodes a new one."""
+
+    def __init__(self, tokenizer, kind: type):
+        from tokenizers import pre_tokenizers
+
+        self.model = tokenizer.model.tokenize
+        self.ids = [i.to_bytes(kind().itemsize, "little") for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.level = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(0xC0, 0x100)}
+
+    def __missing__(self, piece: str) -> bytes:
+        coded = piece if piece.isascii() else piece.translate(self.level)
+        ids = self[piece] = b"".join([self.ids[t.id] for t in self.model(coded)])
+        return ids
 
 
 _ENCODERS: dict[tuple[str, int, str], Encoder] = {}
@@ -235,7 +289,8 @@ def write(docs: DataFrame, path: str, target: str, end: int = 2) -> None:
             return pa.RecordBatch.from_arrays([pa.array([values[f.name]], f.type) for f in _arrow_schema()], schema=_arrow_schema())
 
         for batch in batches:
-            for doc, own in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch.column("text")))):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
+                own = encoder.encode(text)
                 if ids and held + len(own) // kind().itemsize > SHARD:
                     yield shard()
                     seq, ids, coded, held = seq + 1, [], [], 0
