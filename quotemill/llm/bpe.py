@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, texts_of
+from .common import documents, release, texts_of
 
 #: Pre-tokens whose ids a worker remembers; when full, it starts afresh. A matter of speed alone.
 REMEMBERED = 1_000_000
@@ -180,6 +180,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     import pyarrow as pa
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         both = codec(path, pattern)
         for batch in batches:
             counts, hashes, back = [], [], []

@@ -46,6 +46,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def release() -> None:
+    """Give memory that this worker has freed back to the system: Spark keeps workers, and their next task may be another's."""
+    import ctypes
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's own, where it has one
+    if trim:
+        trim(0)
+
+
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, so that other columns cannot clash with its own names."""
     small_batches(docs.sparkSession)
