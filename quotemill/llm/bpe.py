@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import documents, release, texts_of
 
 #: Pre-tokens whose ids a worker remembers; when full, it starts afresh. A matter of speed alone.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
