@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, ranges, shuffle_partitions, slices, spare, texts_of, written
+from .common import documents, ranges, release, shuffle_partitions, slices, spare, texts_of, written
 
 LENGTH = 50
 GRAM = 20
@@ -430,6 +430,7 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
     copies = written(digests.join(earliest, "sha").where("doc > least").select(*keys).distinct(), "copies")
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         def flush():
             found = list(anchor_rows(texts, np.array(ids, np.int64), buckets, length, gram))
             if found:
@@ -464,6 +465,7 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
     marked = keyed.join(listed.groupBy("doc").agg(F.collect_list("place").alias("places")), "doc").select(*keys, "text", "places")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         import zstandard
 
         def flush():
@@ -511,6 +513,7 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
     losses = packed.groupBy("bucket").applyInPandas(lost, "check int, digest long, a int, b int, least long")
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         names = ["check", "digest", *keys, "first"]
         for batch in batches:
             out: list[list] = [[] for _ in names]
