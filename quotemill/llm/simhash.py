@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import resemblance
 from .common import documents, shuffle_partitions, slices, spare, texts_of, written
 from .components import components
 
@@ -200,12 +201,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, b
     )
 
 
-def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, blocks: tuple[int, ...] = BLOCKS) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = resemblance.WIDTH) -> DataFrame:
     """The rows of ``docs``, all columns as they are, of one document per group: the one with the smallest doc_id.
 
-    Rows that repeat a doc_id stay once. Rows without doc_id belong to no group and stay.
+    A group is chained over pairs whose sets of ``width``-word shingles are alike by four fifths or more. Rows that repeat a doc_id stay once. Rows without doc_id belong to no group and stay.
     """
-    found = near_duplicates(docs, width, budget, blocks).where("doc_id = component_id").select("doc_id").distinct()
+    found = resemblance.groups(docs, width).where("doc_id = component_id").select("doc_id").distinct()
     (chosen, number) = spare(docs, "simhash_id", "simhash_row")
     id_ = F.col("`doc_id`").cast("long")
     kept = docs.where(id_.isNotNull()).join(found.withColumnRenamed("doc_id", chosen), id_ == F.col(chosen))

@@ -269,6 +269,41 @@ def test_simhash_awkward(awkward, empty):
     assert 1 not in ids and 10 not in ids and 0 in ids
 
 
+def sets_brute(texts):
+    out = {}
+    for d, t in texts.items():
+        words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+        out[d] = {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    return out
+
+
+def test_keep_one_joins_all_alike_texts(spark, docs, texts):
+    rng = random.Random(5)
+    made, words = {}, [f"w{i}" for i in range(5000)]
+    for _ in range(6):
+        text = rng.choices(words, k=200)
+        for _ in range(8):  # chains of texts that each change a few words of the one before
+            made[10_000 + len(made)] = " ".join(text)
+            for _ in range(rng.randrange(1, 6)):
+                text[rng.randrange(200)] = rng.choice(words)
+    shared = " ".join(rng.choices(words, k=60))
+    for _ in range(40):  # a long passage in common, and yet far from alike
+        made[10_000 + len(made)] = shared + " " + " ".join(rng.choices(words, k=40))
+    made |= {20_000: "two words", 20_001: "Two  words", 20_002: "", 20_003: None}
+    all_texts = texts | made
+    sets = sets_brute(all_texts)
+    ids = sorted(sets)
+    group = {d: d for d in ids}
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            if group[a] != group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(made.items()), "doc_id long, text string"))
+    assert [r["doc_id"] for r in simhash.keep_one(df).orderBy("doc_id").collect()] == [d for d in ids if group[d] == d]
+    assert group[177] == 1 and group[20_001] == 20_000 and group[20_003] == 20_002 and len({group[d] for d in ids if 10_048 <= d < 10_088}) == 40
+
+
 # --- BPE ----------------------------------------------------------------------------------------
 
 
