@@ -2,7 +2,7 @@
 
 Each language has a raw-content zstandard dictionary made of sample texts. A text is compressed with every
 dictionary in turn, and the language whose dictionary gives the fewest bytes is chosen. Where the two best
-languages are too close, the text is rejected.
+languages are too close, or parts of the text are clearly of different languages, the text is rejected.
 """
 
 from __future__ import annotations
@@ -24,10 +24,13 @@ class Settings:
 
     docs_per_language, sample_chars: the fit takes at most so many documents of a language, and at most so many
     characters of each. All other work covers whole texts of all documents.
-    piece: bytes compressed at once, so that the dictionary, not a long text's own past, decides.
+    piece: most bytes compressed at once, so that the dictionary, not a long text's own past, decides. A text of more
+    than ``short`` bytes is cut into two equal pieces at least, so that two languages one after the other show.
     short: a text of at most so many bytes that two languages compress equally well is compared again by the sum over all
     its word-wise suffixes, which tells finer differences.
-    margin: least share by which the best size must lie below the second best.
+    margin: least share by which the best size must lie below the second best; and the share by which it must not lie
+    above what the best languages of single pieces need. On sf0.1, 99.5 % of the longer texts of a language learned have
+    margins above 0.08, 19 in 20 texts of shuffled letters margins below 0.03.
     """
 
     docs_per_language: int = 64
@@ -36,7 +39,7 @@ class Settings:
     piece: int = 4096
     level: int = 9
     short: int = 512
-    margin: float = 0.002
+    margin: float = 0.04
 
 
 DEFAULT = Settings()
@@ -97,18 +100,23 @@ class Sizer:
         if not self.letter(text):
             return UNDETERMINED, 0.0, True
         raw = bare(text)
-        pieces = [raw[i : i + self.piece] for i in range(0, len(raw), self.piece)]
-        sizes = [sum(map(len, map(code, pieces))) for code in self.coders]
+        parts = 1 if len(raw) <= self.short else max(2, -(-len(raw) // self.piece))
+        step = max(1, -(-len(raw) // parts))
+        pieces = [raw[i : i + step] for i in range(0, len(raw), step)]
+        by_piece = [list(map(len, map(code, pieces))) for code in self.coders]
+        sizes = list(map(sum, by_piece))
+        least = sum(map(min, zip(*by_piece)))
         if len(raw) <= self.short and sizes.count(min(sizes)) > 1:
             words = raw.split(b" ")
             pieces = [b" ".join(words[i:]) for i in range(len(words))]
             sizes = [sum(map(len, map(code, pieces))) for code in self.coders]
+            least = min(sizes)
         best = min(range(len(sizes)), key=sizes.__getitem__)
         rest = min((s for i, s in enumerate(sizes) if i != best), default=None)
         if rest is None:
             return self.names[best], 1.0, False
         share = 1.0 - sizes[best] / rest
-        return self.names[best], share, share < self.margin
+        return self.names[best], share, share < self.margin or sizes[best] - least >= self.margin * sizes[best] > 0
 
 
 def predict(docs: DataFrame, dictionaries: dict[str, bytes], settings: Settings = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -486,6 +486,22 @@ def test_language_awkward(awkward, empty, docs):
     assert kept.columns == awkward.columns and language_id.keep_identified(empty, dictionaries).count() == 0
 
 
+def test_language_rejects_mixed_shuffled_and_unknown(spark):
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect() if len(r["text"]) > 1000]
+    sizer = language_id.Sizer(language_id.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")), language_id.DEFAULT)
+    rejected = lambda texts: np.mean([sizer.judge(t.encode())[2] for t in texts])
+    rng = random.Random(3)
+    english, german = ([r["text"].split() for r in rows if r["lang"] == lang] for lang in ("en", "de"))
+    mixed = [" ".join(a[: min(len(a), len(b), 150)] + b[: min(len(a), len(b), 150)]) for a, b in zip(english, german)]
+    shuffled = ["".join(rng.sample(r["text"][:3000], min(3000, len(r["text"])))) for r in rows[:100]]
+    unknown = [
+        "Il gatto dorme sul tavolo della cucina mentre la pioggia cade lentamente sui tetti della città.",
+        "Suomen kielen sanat ovat usein pitkiä ja taivutusmuotoja on paljon, joten lukeminen vaatii harjoitusta.",
+    ]
+    assert rejected(mixed) > 0.8 and rejected(shuffled) > 0.9 and rejected(unknown) == 1
+    assert rejected([r["text"] for r in rows]) < 0.01
+
+
 # --- pipeline -----------------------------------------------------------------------------------
 
 
