@@ -67,8 +67,49 @@ RULES = (
     ("CC-BY-NC-4.0", ("ccbync-ref",)),
 )
 
-#: Where a sentence ends: at a line's end, or at a full stop and the like before white space.
-SPLIT = r"[.!?:;]+[\x20\x09-\x0D]+|\n"
+_GPL = "you can redistribute it and or modify it under the terms of the gnu {}general public license "
+_FSF = "as published by the free software foundation"
+#: Known besides: parts of published notices, as colons and semicolons cut them, and further licenses.
+MORE_SENTENCES = {
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission": "bsd-name",
+    "neither the name of the copyright holders nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-name",
+    "this program is distributed in the hope that it will be useful but without any warranty": "gpl-warranty",
+    "distributed under the boost software license version 1 0": "bsl1-head",
+    "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed": "wtfpl-head",
+    **{f"{_GPL.format(kind)}{_FSF}": f"{name}-terms" for kind, name in (("", "gpl"), ("lesser ", "lgpl"), ("affero ", "agpl"))},
+    **{
+        f"{_GPL.format(kind)}{_FSF} either version {number} of the license or at your option any later version": f"{name}{mark}-head"
+        for kind, name, number, mark in (("", "gpl", "2", "2"), ("", "gpl", "3", "3"), ("lesser ", "lgpl", "2 1", "21"), ("lesser ", "lgpl", "3", "3"), ("affero ", "agpl", "3", "3"))
+    },
+    **{f"either version {number} of the license or at your option any later version": f"later{mark}" for number, mark in (("2", "2"), ("2 1", "21"), ("3", "3"))},
+    f"{_GPL.format('')}version 2 {_FSF}": "gpl2-only",
+}
+
+#: Rules on these, after the fixed ones.
+MORE_RULES = (
+    ("GPL-2.0-or-later", ("gpl-terms", "later2")),
+    ("GPL-3.0-or-later", ("gpl-terms", "later3")),
+    ("LGPL-2.1-or-later", ("lgpl-terms", "later21")),
+    ("LGPL-3.0-or-later", ("lgpl-terms", "later3")),
+    ("AGPL-3.0-or-later", ("agpl-terms", "later3")),
+    ("LGPL-2.1-or-later", ("lgpl21-head",)),
+    ("LGPL-3.0-or-later", ("lgpl3-head",)),
+    ("AGPL-3.0-or-later", ("agpl3-head",)),
+    ("GPL-2.0-only", ("gpl2-only",)),
+    ("BSL-1.0", ("bsl1-head",)),
+    ("WTFPL", ("wtfpl-head",)),
+)
+
+#: Where a sentence over several lines ends: at a full stop and the like before white space, or at a line without words.
+END = r"[.!?:;]+[\x20\x09-\x0D]+|\n[^\p{L}\p{N}\n]*(?=\n)"
+#: Comment marks that would end a sentence, or are words; a line of copyright and year, which stands alone.
+COMMENT = r"(?im)^[\x20\t]*(?:;+|dnl|rem)[\x20\t]+"
+COPYRIGHT = r"(?im)^([^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*)$"
+#: An SPDX line's expression, the exceptions in it, and its identifiers.
+SPDX = r"SPDX-License-Identifier:[\x20\t]*([(]*[A-Za-z0-9.+-]+[)]*(?:[\x20\t]+(?:AND|OR|WITH)[\x20\t]+[(]*[A-Za-z0-9.+-]+[)]*)*)"
+EXCEPTION = r"[\x20\t]+WITH[\x20\t]+[A-Za-z0-9.+-]+"
+IDENTIFIER = r"[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?"
 BARE = r"[^\p{L}\p{N}]+"
 
 
@@ -76,32 +117,45 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), BARE, " "))
 
 
-def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: tuple = RULES) -> DataFrame:
+def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES | MORE_SENTENCES, rules: tuple = RULES + MORE_RULES) -> DataFrame:
     """doc_id, sentence_ids (in text order, one blank between), n_sentences, licenses (sorted, distinct, comma-
     separated), n_licenses; one row per input row.
 
     Texts without a known sentence, null and empty texts have empty strings and zeros. Repeated sentences count each
     time; repeated rows give equal results; an empty table gives no rows. A rule's match is taken out of the sequence
     wherever it occurs, and leaves a mark, so that what stood around it does not become neighbours.
+
+    A sentence may go over several lines, with or without comment marks before them. Where the whole is not known, each
+    of its lines is looked up. Identifiers of SPDX lines count as licenses, not as sentences.
     """
     rows = documents(docs)
-    parts = F.split(F.coalesce("text", F.lit("")), SPLIT)
-    known = F.filter(F.transform(parts, normalised), lambda s: s.isin(list(sentences)))
+    text = F.coalesce("text", F.lit(""))
+    whole = F.split(F.regexp_replace(F.regexp_replace(text, COMMENT, ""), COPYRIGHT, "\n$1\n\n"), END)
+
+    def looked_up(sentence: Column) -> Column:
+        bare = normalised(sentence)
+        by_line = F.when(F.contains(sentence, F.lit("\n")), F.transform(F.split(sentence, "\n"), normalised))
+        return F.when(bare.isin(list(sentences)), F.array(bare)).otherwise(by_line)
+
+    parts = F.flatten(F.array_compact(F.transform(whole, looked_up)))
+    known = F.filter(parts, lambda s: s.isin(list(sentences)))
+    spdx = F.flatten(F.transform(F.regexp_extract_all("text", F.lit(SPDX), 1), lambda e: F.regexp_extract_all(F.regexp_replace(e, EXCEPTION, ""), F.lit(IDENTIFIER), 0)))
+    spdx = F.coalesce(F.filter(spdx, lambda s: ~s.isin("AND", "OR")), F.array().cast("array<string>"))
     names = F.lit(list(sentences.values()))
     of = F.transform(known, lambda s: F.element_at(names, F.array_position(F.lit(list(sentences)), s).cast("int")))
-    found = rows.select("doc_id", of.alias("ids"))
-    told = found.select("doc_id", F.array_join("ids", " ").alias("sentence_ids"), F.size("ids").cast("long").alias("n_sentences"), F.concat(F.lit(" "), F.array_join("ids", "  "), F.lit(" ")).alias("left"))
+    found = rows.select("doc_id", of.alias("ids"), spdx.alias("spdx"))
+    told = found.select("doc_id", "spdx", F.array_join("ids", " ").alias("sentence_ids"), F.size("ids").cast("long").alias("n_sentences"), F.concat(F.lit(" "), F.array_join("ids", "  "), F.lit(" ")).alias("left"))
     licenses = []
     for i, (name, rule) in enumerate(rules):
         sought = "".join(f" {r} " for r in rule)
         told = told.withColumn(f"rule{i}", F.instr("left", sought) > 0).withColumn("left", F.replace("left", F.lit(sought), F.lit(" . ")))
         licenses.append(F.when(F.col(f"rule{i}"), F.lit(name)))
-    held = F.array_sort(F.array_distinct(F.array_compact(F.array(*licenses))))
+    held = F.array_sort(F.array_distinct(F.concat(F.array_compact(F.array(*licenses)), "spdx")))
     return told.select("doc_id", "sentence_ids", "n_sentences", F.array_join(held, ",").alias("licenses"), F.size(held).cast("long").alias("n_licenses"))
 
 
 def scan_sql() -> str:
-    """The same in SQL, built from the same fixed values."""
+    """Sentences of one line in SQL, by the fixed values alone."""
     blank = r"[.!?:;]+[\x20\x09-\x0D]+|\n"
     keys = ", ".join(f"'{s}'" for s in SENTENCES)
     values = ", ".join(f"'{v}'" for v in SENTENCES.values())

@@ -360,6 +360,75 @@ def test_licenses_awkward(awkward, empty):
     assert licenses.scan(awkward).count() == len(awkward_rows()) and licenses.scan(empty).count() == 0
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE.""",
+    "BSD-3-Clause": """Copyright 2020 Some Body
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above
+   copyright notice, this list of conditions and the following disclaimer in
+   the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.""",
+}
+
+
+def test_licenses_over_several_lines(spark):
+    rows, want = [], {}
+    for name, text in WRAPPED.items():
+        bsd2 = text[: text.index("3. Neither")].rstrip() if name == "BSD-3-Clause" else None
+        for form, held in ((name, text), ("BSD-2-Clause", bsd2)):
+            for mark in ("", "// ", "# ", " * ", "; ", "-- ") if held else ():
+                lines = "\n".join((mark + line).rstrip() for line in held.split("\n"))
+                want[len(rows)] = form
+                rows.append((len(rows), f"/*\n{lines}\n */\nint x;" if "*" in mark else lines + "\ncode\n"))
+    for line, found in (("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-3-Clause */", "BSD-3-Clause,GPL-2.0-only"), ("SPDX-License-Identifier: ISC and so on", "ISC"), ("Prose\nreleased under the MIT License\ngoes on", "MIT"), ("permission is\nhereby granted", "")):
+        want[len(rows)] = found
+        rows.append((len(rows), line))
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 # --- quality rules ------------------------------------------------------------------------------
 
 
