@@ -77,10 +77,26 @@ MORE_SENTENCES = {
     "this program is distributed in the hope that it will be useful but without any warranty": "gpl-warranty",
     "distributed under the boost software license version 1 0": "bsl1-head",
     "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed": "wtfpl-head",
-    **{f"{_GPL.format(kind)}{_FSF}": f"{name}-terms" for kind, name in (("", "gpl"), ("lesser ", "lgpl"), ("affero ", "agpl"))},
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "apache license": "apache-title",
+    "version 2 0 january 2004": "apache2-date",
+    "apache license version 2 0 january 2004": "apache2-title",
+    "apache license version 2 0 january 2004 http www apache org licenses": "apache2-title",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl2-head",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0 which is available at http www eclipse org legal epl 2 0": "epl2-head",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v2 0 which accompanies this distribution and is available at https www eclipse org legal epl v20 html": "epl2-head",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html": "epl1-head",
+    "the contents of this file are subject to the terms of the common development and distribution license the license": "cddl-head",
+    "the artistic license 2 0": "artistic2-title",
+    "this is free software you can redistribute it and or modify it under the same terms as the perl 5 programming language system itself": "perl-head",
+    "this program is free software you can redistribute it and or modify it under the terms of the artistic license 2 0": "artistic2-head",
+    "you can redistribute it and or modify it under the terms of the artistic license 2 0": "artistic2-head",
+    **{f"{_GPL.format(kind)}{_FSF}": f"{name}-terms" for kind, name in (("", "gpl"), ("lesser ", "lgpl"), ("affero ", "agpl"), ("library ", "lgpl20"))},
     **{
         f"{_GPL.format(kind)}{_FSF} either version {number} of the license or at your option any later version": f"{name}{mark}-head"
-        for kind, name, number, mark in (("", "gpl", "2", "2"), ("", "gpl", "3", "3"), ("lesser ", "lgpl", "2 1", "21"), ("lesser ", "lgpl", "3", "3"), ("affero ", "agpl", "3", "3"))
+        for kind, name, number, mark in (("", "gpl", "2", "2"), ("", "gpl", "3", "3"), ("lesser ", "lgpl", "2 1", "21"), ("lesser ", "lgpl", "3", "3"), ("affero ", "agpl", "3", "3"), ("library ", "lgpl20", "2", ""))
     },
     **{f"either version {number} of the license or at your option any later version": f"later{mark}" for number, mark in (("2", "2"), ("2 1", "21"), ("3", "3"))},
     f"{_GPL.format('')}version 2 {_FSF}": "gpl2-only",
@@ -97,17 +113,31 @@ MORE_RULES = (
     ("LGPL-3.0-or-later", ("lgpl3-head",)),
     ("AGPL-3.0-or-later", ("agpl3-head",)),
     ("GPL-2.0-only", ("gpl2-only",)),
+    ("LGPL-2.0-or-later", ("lgpl20-terms", "later2")),
+    ("LGPL-2.0-or-later", ("lgpl20-head",)),
     ("BSL-1.0", ("bsl1-head",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    ("Zlib", ("zlib-grant",)),
+    ("Apache-2.0", ("apache-title", "apache2-date")),
+    ("Apache-2.0", ("apache2-title",)),
+    ("EPL-2.0", ("epl2-head",)),
+    ("EPL-1.0", ("epl1-head",)),
+    ("CDDL-1.0", ("cddl-head",)),
+    ("Artistic-2.0", ("artistic2-title",)),
+    ("Artistic-2.0", ("artistic2-head",)),
+    ("Artistic-1.0-Perl", ("perl-head",)),
     ("WTFPL", ("wtfpl-head",)),
 )
 
 #: Where a sentence over several lines ends: at a full stop and the like before white space, or at a line without words.
 END = r"[.!?:;]+[\x20\x09-\x0D]+|\n[^\p{L}\p{N}\n]*(?=\n)"
 #: Comment marks that would end a sentence, or are words; a line of copyright and year, which stands alone.
-COMMENT = r"(?im)^[\x20\t]*(?:;+|dnl|rem)[\x20\t]+"
-COPYRIGHT = r"(?im)^([^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*)$"
-#: An SPDX line's expression, the exceptions in it, and its identifiers.
-SPDX = r"SPDX-License-Identifier:[\x20\t]*([(]*[A-Za-z0-9.+-]+[)]*(?:[\x20\t]+(?:AND|OR|WITH)[\x20\t]+[(]*[A-Za-z0-9.+-]+[)]*)*)"
+COMMENT = r"(?imd)^[\x20\t]*(?:;+|dnl|rem)[\x20\t]+"
+COPYRIGHT = r"(?imd)^([^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*)$"
+#: An SPDX line's expression, the exceptions in it, and its identifiers. The group's loop is possessive (`*+`): a plain one
+#: takes a stack frame per term, and an expression of a thousand terms would end the executor.
+SPDX = r"SPDX-License-Identifier:[\x20\t]*([(]*[A-Za-z0-9.+-]+[)]*(?:[\x20\t]+(?:AND|OR|WITH)[\x20\t]+[(]*[A-Za-z0-9.+-]+[)]*)*+)"
 EXCEPTION = r"[\x20\t]+WITH[\x20\t]+[A-Za-z0-9.+-]+"
 IDENTIFIER = r"[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?"
 BARE = r"[^\p{L}\p{N}]+"
@@ -155,20 +185,30 @@ def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES | MORE_SENTENCES
 
 
 def scan_sql() -> str:
-    """Sentences of one line in SQL, by the fixed values alone."""
-    blank = r"[.!?:;]+[\x20\x09-\x0D]+|\n"
-    keys = ", ".join(f"'{s}'" for s in SENTENCES)
-    values = ", ".join(f"'{v}'" for v in SENTENCES.values())
+    """The same in SQL. Its patterns have no lookahead, so a sentence's end takes blank lines with it; and no possessive loops."""
+    known, rules = SENTENCES | MORE_SENTENCES, RULES + MORE_RULES
+    end = r"[.!?:;]+[\x20\x09-\x0D]+|\n(?:[^\p{L}\p{N}\n]*\n)+"
+    comment, copyright_ = (p.replace("(?imd)", "(?im)") for p in (COMMENT, COPYRIGHT))
+    keys = ", ".join(f"'{s}'" for s in known)
+    values = ", ".join(f"'{v}'" for v in known.values())
+
+    def bare(of: str) -> str:
+        return f"trim(regexp_replace(lower({of}), '{BARE}', ' ', 'g'))"
+
     steps, last = [], "found"
-    for i, (name, rule) in enumerate(RULES):
+    for i, (name, rule) in enumerate(rules):
         sought = "".join(f" {r} " for r in rule)
         steps.append(f"r{i} AS (SELECT doc_id, ids, replace(gone, '{sought}', ' . ') AS gone, CASE WHEN contains(gone, '{sought}') THEN list_append(names, '{name}') ELSE names END AS names FROM {last})")
         last = f"r{i}"
     return f"""
-WITH split AS (SELECT doc_id, list_transform(string_split_regex(coalesce(text, ''), '{blank}'),
-         lambda s: trim(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) AS parts FROM documents),
-named AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: [{values}][list_position([{keys}], s)]), lambda x: x IS NOT NULL) AS ids FROM split),
-found AS (SELECT doc_id, ids, ' ' || array_to_string(ids, '  ') || ' ' AS gone, CAST([] AS VARCHAR[]) AS names FROM named),
+WITH split AS (SELECT doc_id, coalesce(text, '') AS text, string_split_regex(regexp_replace(regexp_replace(coalesce(text, ''), '{comment}', '', 'g'),
+         '{copyright_}', chr(10) || '\\1' || chr(10) || chr(10), 'g'), '{end}') AS whole FROM documents),
+parts AS (SELECT doc_id, text, flatten(list_transform(whole, lambda s: CASE WHEN list_contains([{keys}], {bare("s")}) THEN [{bare("s")}]
+         WHEN contains(s, chr(10)) THEN list_transform(string_split(s, chr(10)), lambda l: {bare("l")}) ELSE CAST([] AS VARCHAR[]) END)) AS parts FROM split),
+named AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: [{values}][list_position([{keys}], s)]), lambda x: x IS NOT NULL) AS ids,
+         list_filter(flatten(list_transform(regexp_extract_all(text, '{SPDX.replace("*+)", "*)")}', 1),
+             lambda e: regexp_extract_all(regexp_replace(e, '{EXCEPTION}', '', 'g'), '{IDENTIFIER}'))), lambda x: x NOT IN ('AND', 'OR')) AS spdx FROM parts),
+found AS (SELECT doc_id, ids, ' ' || array_to_string(ids, '  ') || ' ' AS gone, spdx AS names FROM named),
 {", ".join(steps)}
 SELECT doc_id, array_to_string(ids, ' ') AS sentence_ids, len(ids) AS n_sentences,
        array_to_string(list_sort(list_distinct(names)), ',') AS licenses, len(list_distinct(names)) AS n_licenses
