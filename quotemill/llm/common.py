@@ -94,6 +94,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(marks, F.lit(0)).cast("long")
 
 
+def spread(text: Column, most: int, pieces: int) -> Column:
+    """A text of up to ``most`` characters whole; of a longer one ``pieces`` pieces of equal size, at equal distances
+    from its first to its last character, with a blank between."""
+    size = most // pieces
+    gap = (F.length(text) - size) / (pieces - 1)
+    parts = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substring(text, F.floor(i * gap).cast("int") + 1, F.lit(size)))
+    return F.when(F.length(text) <= most, text).otherwise(F.array_join(parts, " "))
+
+
 def texts_of(column) -> list[bytes | None]:
     """A string column of an Arrow batch as UTF-8 bytes."""
     import pyarrow as pa
