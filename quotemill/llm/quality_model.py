@@ -7,13 +7,14 @@ documents. The model is linear in the mean, so scoring needs one number per dist
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp
 from operator import eq
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, texts_of
@@ -24,11 +25,10 @@ REMEMBERED = 300_000
 
 @dataclass(frozen=True)
 class Settings:
-    """docs_per_class, sample_chars: the fit takes at most so many labelled documents of a class, and at most so many
-    characters of each. Scoring covers whole texts of all documents."""
+    """docs_per_class: the fit takes at most so many labelled documents of a class, whole texts of each. What reaches the
+    driver of a document is one number per bucket it touches. Scoring covers whole texts of all documents."""
 
     docs_per_class: int = 1200
-    sample_chars: int = 6000
     buckets: int = 1 << 16
     dim: int = 16
     grams: tuple[int, ...] = (3, 4)
@@ -66,38 +66,61 @@ def repeat_mark(settings: Settings) -> int:
     return crc32(b"< >") % settings.buckets
 
 
-def sample(docs: DataFrame, labels: DataFrame, settings: Settings = DEFAULT) -> list[tuple[bytes, int]]:
-    """Texts and classes for the fit, the smallest hashes of ids first; the same on every run."""
-    marks = labels.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`quality`").cast("int").alias("quality")).where("quality IN (0, 1) AND doc_id IS NOT NULL")
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = marks.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.docs_per_class)
-    rows = documents(docs).where("doc_id IS NOT NULL").select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, settings.sample_chars).alias("text"))
-    found = rows.join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "text", "quality")
-    return [(r["text"].encode(), r["quality"]) for r in found.collect()]
+def bag(raw: bytes | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, times) of a whole text: of its words' features and of the marks of words that repeat the one before."""
+    words = raw.split() if raw else []
+    times: Counter[int] = Counter()
+    for word, n in Counter(words).items():
+        for bucket in features(word, settings):
+            times[bucket] += n
+    repeats = sum(map(eq, words, words[1:]))
+    if repeats:
+        times[repeat_mark(settings)] += repeats
+    buckets = sorted(times)
+    return np.array(buckets, np.int32), np.array([times[b] for b in buckets], np.int64)
+
+
+Example = tuple[np.ndarray, np.ndarray, int]
+
+
+def sample(docs: DataFrame, labels: DataFrame, settings: Settings = DEFAULT) -> list[Example]:
+    """(buckets, times, class) of the documents of the fit, the smallest hashes of ids first; the same on every run.
+
+    Labels other than 0 and 1 and labels without id are passed over; an id with both is an example of each class. A
+    null text is an empty one. Rows that repeat count once. Texts are counted in tasks.
+    """
+    import pyarrow as pa
+
+    marks = labels.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`quality`").cast("int").alias("quality")).where("quality IN (0, 1) AND doc_id IS NOT NULL").distinct()
+    zeros, ones = (marks.where(F.col("quality") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.docs_per_class) for c in (0, 1))
+    chosen = zeros.unionByName(ones)
+    rows = documents(docs).where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    held = rows.join(F.broadcast(chosen), "doc_id").distinct()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bags = [bag(t, settings) for t in texts_of(batch.column("text"))]
+            columns = [batch.column("doc_id"), batch.column("place"), batch.column("quality")]
+            columns += [pa.array([b[i] for b in bags], pa.list_(kind)) for i, kind in ((0, pa.int32()), (1, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "quality", "buckets", "times"])
+
+    placed = held.select("doc_id", F.xxhash64("text").alias("place"), "quality", "text")
+    found = placed.mapInArrow(counted, "doc_id long, place long, quality int, buckets array<int>, times array<long>")
+    table = found.orderBy(F.xxhash64("doc_id"), "doc_id", "place", "quality").toArrow()
+    lists = (([x.as_py() for x in table.column("quality")]), *[[x.values.to_numpy() for x in table.column(c)] for c in ("buckets", "times")])
+    return [(buckets, times, quality) for quality, buckets, times in zip(*lists)]
 
 
-def train(examples: list[tuple[bytes, int]], settings: Settings = DEFAULT) -> Model:
+def train(examples: list[Example], settings: Settings = DEFAULT) -> Model:
     """Gradient descent, one document at a time, with a falling rate; classes weigh the same.
 
     Without examples of both classes every score is the share of class 1 among the examples, or one half.
     """
-    classes = np.array([c for _, c in examples], np.int64)
+    classes = np.array([c for *_, c in examples], np.int64)
     ones = int(classes.sum())
     if ones in (0, len(examples)):
         return Model(np.zeros(settings.buckets), 0.0 if not examples else (9.0 if ones else -9.0), settings)
-    known: dict[bytes, list[int]] = {}
-    bags = []
-    for raw, _ in examples:
-        held: list[int] = []
-        words = raw.split()
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = features(word, settings)
-            held += ids
-        held += [repeat_mark(settings)] * sum(map(eq, words, words[1:]))
-        ids, times = np.unique(np.array(held, np.int64), return_counts=True)
-        bags.append((ids, (times / max(1, times.sum())).astype(np.float32)))
+    bags = [(ids, (times / max(1, times.sum())).astype(np.float32)) for ids, times, _ in examples]
     rng = np.random.default_rng(settings.seed)
     table = rng.uniform(-1 / settings.dim, 1 / settings.dim, (settings.buckets, settings.dim)).astype(np.float32)
     out = np.zeros((settings.dim, 2), np.float32)
