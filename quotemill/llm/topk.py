@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from .common import small_batches, written
 
 #: Bits of the score that one pass settles; queries of a block; vectors scored at once.
@@ -21,6 +22,8 @@ RADIX = 10
 BLOCK = 4096
 ROWS = 1024
 
+ANSWER = "query_id long, rank int, vec_id long, score long"
+
 
 def scaled(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
     """vec_id, v: floor(scale * x) of every component, as longs.
@@ -71,7 +74,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
     spark = vectors.sparkSession
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = written(asked.withColumn("dim", F.size("v")), "queries")
-    parts = []
+    path = fresh_path(spark, "best")
+    spark.createDataFrame([], ANSWER).write.parquet(path)
     for dim, count in sorted((r["dim"], r["n"]) for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()):
         own = asked.where(F.col("dim") == dim)
         cuts = -(-count // block)
@@ -81,13 +85,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
             if table.num_rows:
                 ids = table.column("vec_id").to_numpy()
                 matrix = np.array(table.column("v").to_pylist(), np.int64)
-                parts.append(_answer(rows, ids, matrix, k))
-    if not parts:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+                # Written at once: a plan would keep each block's queries on the driver until its end.
+                _answer(rows, ids, matrix, k).write.mode("append").parquet(path)
+    return spark.read.schema(ANSWER).parquet(path)
 
 
 def _answer(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> DataFrame:
