@@ -93,6 +93,15 @@ def test_topk_brute_force(spark, block):
     assert table(got, "query_id", "rank", "vec_id", "score") == sorted(best(rows, 5, lambda i: i % 50 == 0), key=repr)
 
 
+def test_topk_of_many_blocks_keeps_no_queries_in_the_plan(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.randrange(-8, 8) / 4 for _ in range(3)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 4 == 0, k=3, block=1)
+    assert table(got, "query_id", "rank", "vec_id", "score") == sorted(best(rows, 3, lambda i: i % 4 == 0), key=repr)
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()
+
+
 def test_topk_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-3.0])], "vec_id long, embedding array<double>")
     assert table(topk.top_k(df, F.col("vec_id") == 0, k=5), "vec_id", "score") == [(1, 512 * 256), (2, -768 * 256)]
@@ -269,39 +278,20 @@ def test_simhash_awkward(awkward, empty):
     assert 1 not in ids and 10 not in ids and 0 in ids
 
 
-def sets_brute(texts):
-    out = {}
-    for d, t in texts.items():
-        words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
-        out[d] = {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-    return out
-
-
-def test_keep_one_joins_all_alike_texts(spark, docs, texts):
+def test_keep_one_of_each_group(spark, docs, texts):
     rng = random.Random(5)
     made, words = {}, [f"w{i}" for i in range(5000)]
     for _ in range(6):
-        text = rng.choices(words, k=200)
+        text = rng.choices(words, k=2000)
         for _ in range(8):  # chains of texts that each change a few words of the one before
             made[10_000 + len(made)] = " ".join(text)
             for _ in range(rng.randrange(1, 6)):
-                text[rng.randrange(200)] = rng.choice(words)
-    shared = " ".join(rng.choices(words, k=60))
-    for _ in range(40):  # a long passage in common, and yet far from alike
-        made[10_000 + len(made)] = shared + " " + " ".join(rng.choices(words, k=40))
+                text[rng.randrange(2000)] = rng.choice(words)
     made |= {20_000: "two words", 20_001: "Two  words", 20_002: "", 20_003: None}
-    all_texts = texts | made
-    sets = sets_brute(all_texts)
-    ids = sorted(sets)
-    group = {d: d for d in ids}
-    for i, a in enumerate(ids):
-        for b in ids[:i]:
-            if group[a] != group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-                low, high = sorted((group[a], group[b]))
-                group = {d: low if g == high else g for d, g in group.items()}
+    group = groups_brute([(d, print_brute(t)) for d, t in (texts | made).items()])
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(made.items()), "doc_id long, text string"))
-    assert [r["doc_id"] for r in simhash.keep_one(df).orderBy("doc_id").collect()] == [d for d in ids if group[d] == d]
-    assert group[177] == 1 and group[20_001] == 20_000 and group[20_003] == 20_002 and len({group[d] for d in ids if 10_048 <= d < 10_088}) == 40
+    assert [r["doc_id"] for r in simhash.keep_one(df).orderBy("doc_id").collect()] == sorted(d for d in group if group[d] == d)
+    assert group[20_001] == 20_000 and group[20_003] == 20_002 and len({group[d] for d in made}) < 40
 
 
 # --- BPE ----------------------------------------------------------------------------------------
@@ -413,6 +403,17 @@ the Free Software Foundation; either version 2 of the License, or
 }
 
 
+MORE_NOTICES = (
+    ("This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin", "Zlib"),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS", "Apache-2.0"),
+    ("This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nSPDX-License-Identifier: EPL-2.0", "EPL-2.0"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Library General Public\nLicense as published by the Free Software Foundation; either\nversion 2 of the License, or (at your option) any later version.", "LGPL-2.0-or-later"),
+    ("The contents of this file are subject to the terms of the\nCommon Development and Distribution License (the \"License\").\nYou may not use this file except in compliance with the License.", "CDDL-1.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.\n\nTHE SOFTWARE IS PROVIDED", "0BSD"),
+    ("                       The Artistic License 2.0\n\n           Copyright (c) 2000-2006, The Perl Foundation.", "Artistic-2.0"),
+)
+
+
 def test_licenses_over_several_lines(spark):
     rows, want = [], {}
     for name, text in WRAPPED.items():
@@ -425,8 +426,25 @@ def test_licenses_over_several_lines(spark):
     for line, found in (("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-3-Clause */", "BSD-3-Clause,GPL-2.0-only"), ("SPDX-License-Identifier: ISC and so on", "ISC"), ("Prose\nreleased under the MIT License\ngoes on", "MIT"), ("permission is\nhereby granted", "")):
         want[len(rows)] = found
         rows.append((len(rows), line))
-    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == want
+    for text, found in MORE_NOTICES:
+        want[len(rows)] = found
+        rows.append((len(rows), text))
+    scanned = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["licenses"] for r in scanned} == want
+    db = duckdb.connect()
+    db.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    odd = [(-1, None), (-2, ""), (-3, "\n\n \n--\n# \n.\nAll rights reserved.\n...\n\n"), (-4, "Licensed under\nCC BY 4.0\n\n\n; Licensed under CC BY-SA 4.0\n(c) 2020 x\nAll rights\nreserved")]
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows + odd)
+    scanned += licenses.scan(spark.createDataFrame(odd, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, scanned)) == sorted(db.sql(licenses.scan_sql()).fetchall())
+
+
+def test_licenses_of_many_terms(spark):
+    names = [f"LicenseRef-{i}" for i in range(20_000)]
+    rows = [(1, "// SPDX-License-Identifier: " + " AND ".join(names)), (2, "SPDX-License-Identifier: " + "MIT OR " * 20_000 + "ISC"), (3, "SPDX-License-Identifier: " + "(" * 50_000), (4, "SPDX-License-Identifier:" + " \t" * 50_000)]
+    rows += [(5, "Copyright " * 5_000), (6, "; " * 50_000), (7, "\n.." * 50_000), (8, "released under the mit license\n" * 5_000)]
+    got = {r["doc_id"]: r["n_licenses"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 20_000, 2: 2, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0, 8: 1}
 
 
 # --- quality rules ------------------------------------------------------------------------------
@@ -526,14 +544,72 @@ def test_quality_model_held_out(spark):
 
 
 def test_quality_model_awkward(spark, awkward, empty):
-    model = quality_model.train([(b"good words here", 1), (b"### bad &&&", 0)] * 20)
+    model = quality_model.train([(*quality_model.bag(t, quality_model.DEFAULT), c) for t, c in [(b"good words here", 1), (b"### bad &&&", 0), (b"", 0)]] * 20)
     got = quality_model.score(awkward, model).collect()
     assert len(got) == len(awkward_rows()) and all(0 <= r["score"] <= 1 for r in got)
     assert quality_model.score(empty, model).count() == 0
     none = quality_model.train([])
     assert {r["score"] for r in quality_model.score(awkward, none).collect()} == {0.5}
     labels = spark.createDataFrame([(6, 1), (6, 0), (None, 1), (7, None), (99, 1)], "doc_id long, quality int")
-    assert {c for _, c in quality_model.sample(awkward, labels)} == {0, 1}
+    assert {c for *_, c in quality_model.sample(awkward, labels)} == {0, 1}
+    assert quality_model.sample(empty, labels) == [] == quality_model.sample(awkward, labels.where("false"))
+
+
+def test_quality_sample_takes_whole_texts(spark):
+    rows = [(i, "plain words " * 2000 + f"last{i}") for i in range(30)] + [(30, None), (31, "a a")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(32)], "doc_id long, quality int")
+    settings = quality_model.Settings(docs_per_class=12)
+    found = quality_model.sample(spark.createDataFrame(rows, "doc_id long, text string"), labels, settings)
+    assert Counter(c for *_, c in found) == {0: 12, 1: 12}
+    bags = {(tuple(a.tolist()), tuple(b.tolist())) for a, b in (quality_model.bag((t or "").encode(), settings) for _, t in rows)}
+    assert all((tuple(a.tolist()), tuple(b.tolist())) in bags for a, b, _ in found)
+    ids, times = quality_model.bag(b"a a", settings)
+    assert times.sum() == 2 * len(quality_model.features(b"a", settings)) + 1 and quality_model.repeat_mark(settings) in ids
+
+
+def test_quality_model_against_plain_loops():
+    """The same descent with one number at a time, and a text's score as softmax of the mean of its features' vectors."""
+    settings = quality_model.Settings(buckets=64, dim=3, epochs=2)
+    texts = [(b"a bb ccc", 1), (b"dd dd e", 0), (b"bb bb bb f", 1), (b"gg a", 0), (b"hh ii jj a", 0)]
+    model = quality_model.train([(*quality_model.bag(t, settings), c) for t, c in texts], settings)
+    rng = np.random.default_rng(settings.seed)
+    vectors = rng.uniform(-1 / 3, 1 / 3, (64, 3)).astype(np.float32).astype(float).tolist()
+    out, shift = [[0.0, 0.0] for _ in range(3)], [0.0, 0.0]
+    share_of_ones = sum(c for _, c in texts) / len(texts)
+    weigh = [0.5 / (1 - share_of_ones), 0.5 / share_of_ones]
+
+    def mean(raw):
+        words = raw.split()
+        marks = [f for w in words for f in quality_model.features(w, settings)] + [quality_model.repeat_mark(settings) for a, b in zip(words, words[1:]) if a == b]
+        return {f: n / len(marks) for f, n in Counter(marks).items()}
+
+    def odds(share):
+        hidden = [sum(s * vectors[f][k] for f, s in share.items()) for k in range(3)]
+        logit = [sum(hidden[k] * out[k][c] for k in range(3)) + shift[c] for c in (0, 1)]
+        return hidden, 1 / (1 + np.exp(logit[0] - logit[1]))
+
+    done = 0
+    for _ in range(settings.epochs):
+        for i in rng.permutation(len(texts)):
+            rate = settings.rate * (1 - done / (settings.epochs * len(texts)))
+            done += 1
+            raw, c = texts[i]
+            share = mean(raw)
+            hidden, one = odds(share)
+            step = [rate * weigh[c] * ((k == c) - p) for k, p in ((0, 1 - one), (1, one))]
+            back = [out[k][0] * step[0] + out[k][1] * step[1] for k in range(3)]
+            norm = sum(s * s for s in share.values())
+            for k in range(3):
+                for d in (0, 1):
+                    out[k][d] += hidden[k] * step[d]
+            for d in (0, 1):
+                shift[d] += 0.1 * step[d]
+            for f, s in share.items():
+                for k in range(3):
+                    vectors[f][k] += s / norm * back[k]
+    known = quality_model._Known(model)
+    for raw, _ in texts:
+        assert quality_model.score_text(raw, known, model.bias) == pytest.approx(odds(mean(raw))[1], abs=1e-4)
 
 
 def test_language_held_out(spark):
@@ -545,6 +621,54 @@ def test_language_held_out(spark):
     assert np.mean([r["rejected"] for r in got]) < 0.01
 
 
+def language_brute(raw, dictionaries):
+    """(language, rejected) with one compressor call per piece and language."""
+    import zstandard
+
+    text = (raw or b"").decode()
+    if not any(c.isalpha() for c in text):
+        return "und", True
+    words = "".join(c if ord(c) > 127 or c.isalpha() else " " for c in text.lower()).encode().split()
+    raw = b" ".join(words)
+
+    def size(lang, part):
+        held = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(level=9)
+        return len(zstandard.ZstdCompressor(level=9, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False).compress(part)) - 9  # bytes of an empty frame
+
+    step = max(1, -(-len(raw) // max(2, -(-len(raw) // 4096))))
+    pieces = [raw[i : i + step] for i in range(0, len(raw), step)]
+    sizes = {lang: [size(lang, p) for p in pieces] for lang in dictionaries}
+    total = {lang: sum(s) for lang, s in sizes.items()}
+    best = min(total.values())
+    mixed = best - sum(min(s) for s in zip(*sizes.values())) > 0.04 * best
+    if list(total.values()).count(best) > 1:
+        total = {lang: sum(size(lang, b" ".join(words[i:])) for i in sorted({j * len(words) // 64 for j in range(64)})) for lang in dictionaries}
+    first, second = sorted(total.values())[:2]
+    return min(sorted(total), key=total.get), mixed or 1 - first / second < 0.04
+
+
+def test_language_brute_force(docs, awkward):
+    dictionaries = language_id.fit(docs)
+    sizer = language_id.Sizer(dictionaries, language_id.DEFAULT)
+    texts = [r["text"].encode() for r in docs.orderBy("doc_id").limit(60).collect()] + [None if r["text"] is None else r["text"].encode() for r in awkward.where("length(text) < 9000 OR text IS NULL").collect()]
+    texts += ["a b c".encode(), "je suis ici".encode(), b"the the", "der Hund und the dog".encode()]
+    for raw in texts:
+        name, _, rejected = sizer.judge(raw)
+        assert (name, rejected) == language_brute(raw, dictionaries), raw
+
+
+def test_language_fit_reads_whole_texts(spark):
+    long = "".join(chr(97 + i // 10_000) for i in range(100_000))
+    rows = [(1, long, "xx"), (2, long, "xx"), (3, "short text", "xx"), (4, "other", None), (5, None, "xx"), (6, " ", "xx")]
+    fitted = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(fitted) == {"xx"} and b"short text" in fitted["xx"]
+    parts = fitted["xx"].replace(b"short text", b"").split()
+    assert len(parts) == 8 and parts[0] == b"a" * 512 and parts[-1] == b"j" * 512 and len({p[:1] for p in parts}) == 8
+    small = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), language_id.Settings(dictionary_bytes=100))
+    assert len(small["xx"]) == 100
+
+
 def test_language_awkward(awkward, empty, docs):
     dictionaries = language_id.fit(docs)
     got = {(r["doc_id"], r["lang_pred"]) for r in language_id.predict(awkward, dictionaries).collect()}
@@ -556,12 +680,13 @@ def test_language_awkward(awkward, empty, docs):
 
 
 def test_language_rejects_mixed_shuffled_and_unknown(spark):
-    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect() if len(r["text"]) > 1000]
-    sizer = language_id.Sizer(language_id.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")), language_id.DEFAULT)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in table.where(queries.held_out(4, 2)).orderBy("doc_id").collect() if len(r["text"]) > 300]
+    sizer = language_id.Sizer(language_id.fit(table.where(~queries.held_out(4, 2))), language_id.DEFAULT)
     rejected = lambda texts: np.mean([sizer.judge(t.encode())[2] for t in texts])
     rng = random.Random(3)
     english, german = ([r["text"].split() for r in rows if r["lang"] == lang] for lang in ("en", "de"))
-    mixed = [" ".join(a[: min(len(a), len(b), 150)] + b[: min(len(a), len(b), 150)]) for a, b in zip(english, german)]
+    mixed = [" ".join(a[:n] + b[:n]) for n in (10, 20, 150) for a, b in zip(english, german) if len(a) >= n <= len(b)]
     shuffled = ["".join(rng.sample(r["text"][:3000], min(3000, len(r["text"])))) for r in rows[:100]]
     unknown = [
         "Il gatto dorme sul tavolo della cucina mentre la pioggia cade lentamente sui tetti della città.",
@@ -578,8 +703,8 @@ def test_pipeline_brute_force(spark, docs, reference_codec):
     """Each stage anew in plain Python, on what the stage before kept."""
     rows = [r.asDict() for r in docs.collect()]
     got = table(corpus_pipeline.run(spark, SMALL), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
-    sizer = language_id.Sizer(language_id.fit(docs), language_id.DEFAULT)
-    rows = [r for r in rows if not sizer.judge(r["text"].encode())[2]]
+    dictionaries = language_id.fit(docs)
+    rows = [r for r in rows if not language_brute(r["text"].encode(), dictionaries)[1]]
     group = groups_brute([(r["doc_id"], print_brute(r["text"])) for r in rows])
     rows = [r for r in rows if group[r["doc_id"]] == r["doc_id"]]
     first: dict[bytes, int] = {}
