@@ -13,10 +13,9 @@ from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import resemblance
 from .common import documents, shuffle_partitions, slices, spare, texts_of, written
 from .components import components
 
@@ -201,21 +200,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, b
     )
 
 
-def keep_one(docs: DataFrame, width: int = resemblance.WIDTH) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, blocks: tuple[int, ...] = BLOCKS) -> DataFrame:
     """The rows of ``docs``, all columns as they are, of one document per group: the one with the smallest doc_id.
 
-    A group is chained over pairs whose sets of ``width``-word shingles are alike by four fifths or more. Rows that repeat a doc_id stay once. Rows without doc_id belong to no group and stay.
+    Groups are those of ``near_duplicates``. Rows that repeat a doc_id stay once. Rows without doc_id belong to no group
+    and stay. An empty table stays empty.
     """
-    found = resemblance.groups(docs, width).where("doc_id = component_id").select("doc_id").distinct()
+    found = near_duplicates(docs, width, budget, blocks)
     (chosen, number) = spare(docs, "simhash_id", "simhash_row")
     id_ = F.col("`doc_id`").cast("long")
-    kept = docs.where(id_.isNotNull()).join(found.withColumnRenamed("doc_id", chosen), id_ == F.col(chosen))
-    if not _unique(docs):
-        from pyspark.sql import Window
-
-        rows = Window.partitionBy(chosen).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in ("doc_id", "text")]))
-        kept = kept.withColumn(number, F.row_number().over(rows)).where(F.col(number) == 1).drop(number)
-    return kept.drop(chosen).unionByName(docs.where(id_.isNull()))
+    if _unique(docs):
+        # The others are fewer, and a row without doc_id is no match.
+        gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias(chosen)), "near-copies")
+        return docs.join(gone, id_ == F.col(chosen), "left_anti")
+    first = written(found.where("doc_id = component_id").select(F.col("doc_id").alias(chosen)).distinct(), "first-copies")
+    rows = Window.partitionBy(chosen).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in ("doc_id", "text")]))
+    kept = docs.join(first, id_ == F.col(chosen)).withColumn(number, F.row_number().over(rows)).where(F.col(number) == 1)
+    return kept.drop(chosen, number).unionByName(docs.where(id_.isNull()))
 
 
 def _unique(docs: DataFrame) -> bool:
