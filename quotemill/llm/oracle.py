@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, quality_rules
+from . import importance, licenses, quality_rules, substring_dedup
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
@@ -81,4 +81,4 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 
 
 def statements() -> dict[str, str]:
-    return {"op1_topk": TOPK, "op2_mixing": MIXING, "op6_licenses": licenses.scan_sql(), "op7_quality_rules": _quality()}
+    return {"op1_topk": TOPK, "op2_mixing": MIXING, "op6_licenses": licenses.scan_sql(), "op7_quality_rules": _quality(), "op11_importance": importance.resample_sql(), "op12_substring_dedup": substring_dedup.removals_sql()}

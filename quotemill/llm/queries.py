@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, licenses, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_store, topk
+from . import bpe, importance, language_id, licenses, mixing, periodic_runs, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup, token_store, topk
 from .common import crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,19 @@ def op10_language_id(spark, sf):
     return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_importance(spark, sf):
+    found = importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"), grams=1, buckets=10_000, least_words=20, percent=10, seed=2024)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_substring_dedup(spark, sf):
+    return substring_dedup.removals(table(spark, sf, "documents"), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op13_periodic_runs(spark, sf):
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf, "documents")), least=12))
+
+
 def pipeline(spark, sf):
     import corpus_pipeline
 
@@ -93,5 +106,5 @@ def pipeline(spark, sf):
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_topk, op2_mixing, op3_suffix_dedup, op4_simhash, op5_bpe, op6_licenses, op7_quality_rules, op8_token_store, op9_quality_model, op10_language_id, pipeline)
+    for f in (op1_topk, op2_mixing, op3_suffix_dedup, op4_simhash, op5_bpe, op6_licenses, op7_quality_rules, op8_token_store, op9_quality_model, op10_language_id, op11_importance, op12_substring_dedup, op13_periodic_runs, pipeline)
 }
