@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, release, texts_of
+from .common import REMEMBERING, documents, release, texts_of
 
 #: Pre-tokens whose ids a worker remembers; when full, it starts afresh. A matter of speed alone.
 REMEMBERED = 500_000
@@ -138,6 +138,7 @@ def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _CODECS:
         with open(path, "rb") as file:
             _CODECS[path, pattern] = Codec(read_ranks(file.read()), pattern)
+        REMEMBERING.append(_CODECS[path, pattern].known)
     return _CODECS[path, pattern]
 
 
@@ -180,8 +181,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     import pyarrow as pa
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         both = codec(path, pattern)
+        release(both.known)
         for batch in batches:
             counts, hashes, back = [], [], []
             for raw in texts_of(batch.column("text")):

@@ -46,12 +46,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
-def release() -> None:
-    """Give memory that this worker has freed back to the system: Spark keeps workers, and their next task may be another's."""
+#: What a worker remembers from task to task, each with a method clear().
+REMEMBERING: list = []
+
+
+def release(own: object = None) -> None:
+    """Let go of what this worker remembers but for ``own``, and give freed memory back to the system: Spark keeps workers,
+    and their next task may be another's."""
     import ctypes
 
     import pyarrow as pa
 
+    for memory in REMEMBERING:
+        if memory is not own:
+            memory.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's own, where it has one

@@ -447,6 +447,8 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     yield from flush()
                     texts, ids, held = [], [], 0
         yield from flush()
+        del texts, ids
+        release()
 
     def flagged(group: pd.DataFrame) -> pd.DataFrame:
         doc, place, hot = shared_entries(group["entries"], group["known"], often)
@@ -501,8 +503,11 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     held.clear()
         if held:
             yield flush()
+        held.clear()
+        release()
 
     def lost(group: pd.DataFrame) -> pd.DataFrame:
+        release()
         found = list(removable(zip(group["numbers"], group["contexts"]), length, gram))
         names = ("check", "digest", "a", "b", "least")
         if not found:
@@ -524,6 +529,8 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         column.append(value)
             check = np.array(out[0], np.uint64).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(check), *[pa.array(c, pa.int64()) for c in out[1:-1]], pa.array(out[-1], pa.int32())], names=names)
+            out.clear()
+        release()
 
     met = marked.mapInArrow(occurrences, f"check int, digest long, {' long, '.join(keys)} long, first int")
     covers = (
