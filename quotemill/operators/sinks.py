@@ -20,17 +20,18 @@ _DEFAULTS: list[tuple[type, object]] = [
 ]
 
 
-def typed(df: DataFrame, schema: T.StructType, ingested_at: str = "_ingested_at") -> DataFrame:
+def typed(df: DataFrame, schema: T.StructType, ingested_at: str = "_ingested_at", as_of: object = None) -> DataFrame:
     """The declared columns in their declared types; unknown columns are dropped, absent ones NULL.
 
-    The ingestion time is set here when the input does not carry it.
+    The ingestion time of input that does not carry it is ``as_of``, or the server's clock if that is not given.
     """
     columns = []
     for field in schema.fields:
         if field.name in df.columns:
             columns.append(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name))
         elif field.name == ingested_at:
-            columns.append(F.current_timestamp().alias(field.name))
+            moment = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+            columns.append(moment.alias(field.name))
         else:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name))
     return df.select(*columns)
@@ -48,8 +49,8 @@ def with_defaults(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def append_typed(df: DataFrame, schema: T.StructType, path: str) -> None:
-    typed(df, schema).write.mode("append").parquet(path)
+def append_typed(df: DataFrame, schema: T.StructType, path: str, as_of: object = None) -> None:
+    typed(df, schema, as_of=as_of).write.mode("append").parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
@@ -57,17 +58,31 @@ def full_refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def point_table(spark: SparkSession, table: str, path: str, schema: T.StructType | None = None, using: str = "parquet") -> None:
+    """Make a catalog table show the files of ``path``; its entry is created, moved, or replaced when columns differ."""
+    if spark.catalog.tableExists(table):
+        known = spark.table(table).schema
+        if schema is not None and [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in schema]:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=path, source=using, schema=schema)
+
+
 def create_replace(df: DataFrame, table: str, using: str = "parquet") -> None:
-    """Drop a table if it exists and create it anew with the schema of the data.
+    """Create a table with the schema of the data, or replace the one there is.
 
-    Formats other than files, such as a lakehouse catalog whose jar is on the class path, replace
-    the table in one step.
+    The new files go to a path of their own first, so a failed job leaves the old table in place, and ``df`` may read
+    it. Formats other than files, such as a lakehouse catalog whose jar is on the class path, replace the table in one
+    step.
     """
     if using not in ("parquet", "orc", "csv", "json"):
         df.writeTo(table).using(using).createOrReplace()
         return
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.format(using).mode("overwrite").saveAsTable(table)
+    path = fresh_path(df.sparkSession, table.replace(".", "-"))
+    df.write.format(using).save(path)
+    point_table(df.sparkSession, table, path, df.schema, using)
 
 
 def bucketed_table(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> None:

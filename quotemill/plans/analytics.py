@@ -159,12 +159,19 @@ def rolling_marketcap_monthly(
 
 def price_to_earnings(t: Tables, limit: int = 10, all_versions: bool = False) -> DataFrame:
     """Highest price to earnings of a day: mean close over mean profit, when that is positive."""
-    quotes = t["FactStock"].select("DateKey", "CompanyKey", "ClosePrice")
     firms = earnings(t, "CompanyName", "Industry", all_versions=all_versions)
+    # Quotes are summed by company and day before names are joined: what is shuffled of the fact are numbers.
+    daily = t["FactStock"].groupBy("DateKey", "CompanyKey").agg(
+        F.sum("ClosePrice").alias("_sum"), F.count("ClosePrice").alias("_prices"), F.count(F.lit(1)).alias("_quotes")
+    )
+    earned = F.sum(F.when(F.col("Profit").isNotNull(), F.col("_quotes")))
     grouped = (
-        lookup_join(quotes, firms, ["CompanyKey"])
+        lookup_join(daily, firms, ["CompanyKey"])
         .groupBy("DateKey", "CompanyName", "Industry")
-        .agg(F.avg("ClosePrice").alias("_close"), F.avg("Profit").alias("_profit"))
+        .agg(
+            ratio(F.sum("_sum"), F.sum("_prices")).alias("_close"),
+            ratio(F.sum(F.col("Profit") * F.col("_quotes")), earned).alias("_profit"),
+        )
         .where(F.col("_profit") > 0)
     )
     day = F.col("DateKey")

@@ -4,41 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.dedup import last_version
-from ..operators.joins import lookup_join
 from ..operators.scd2 import expose, read_snapshot, store_snapshot
 from ..operators.sinks import append_typed
-from ..operators.upsert import (
-    append_absent_months,
-    delete_insert_months,
-    insert_absent,
-    latest_day,
-    months_of,
-    read_months,
-    write_months,
-)
+from ..operators.upsert import append_absent_months, insert_absent, months_of
 from ..schemas import (
     COMPANIES_RAW,
     COMPANY_CHECK_COLUMNS,
     GOLD_COLUMNS,
-    GOLD_SORT_KEYS,
     MONTH,
     STOCK_KEYS,
     TICKER_CHECK_COLUMNS,
 )
 from ..session import pinned, together
-from . import silver
+from . import keychecks, silver
 from .warehouse import Warehouse
 
 
 # What one quote of the fact is known by, whatever company it was matched to.
 DAY_KEYS = ["DateKey", "TickerKey"]
+TICKER_STATES = "ticker_states"
 
 
 @dataclass(frozen=True)
@@ -54,50 +44,64 @@ class Run:
     late_quotes: bool = True
 
 
-def load_bronze(run: Run, companies: DataFrame, stocks: DataFrame) -> list[int] | None:
-    """Append the batch; returns the months of its quotes, or None when all of them are new."""
+@dataclass(frozen=True)
+class Taken:
+    """What a run has to look at in bronze: the months of its quotes, and their first and last day. Of a table that was
+    new, all of it (no months)."""
+
+    months: list[int] | None = None
+    first: object = None
+    last: object = None
+
+
+def load_bronze(run: Run, companies: DataFrame, stocks: DataFrame) -> Taken:
+    """Append the batch; returns which part of bronze its quotes lie in."""
     wh = run.warehouse
     if run.companies_once and wh.exists("bronze", "companies_raw"):
         companies = insert_absent(
             wh.read("bronze", "companies_raw"), companies, ["rank"], ["_ingested_at", *companies.columns]
         )
     order = ["_ingested_at", *[c for c in stocks.columns if c != "_ingested_at"]]
-    _, months = together(
-        lambda: append_typed(companies, COMPANIES_RAW, wh.path("bronze", "companies_raw")),
-        lambda: append_absent_months(
+    exists = wh.exists("bronze", "stocks_raw")
+    if exists:
+        stocks = pinned(stocks, "quotes")
+
+    def quotes() -> Taken:
+        append_absent_months(
             wh.spark,
             wh.path("bronze", "stocks_raw"),
             stocks,
             ["ticker_symbol", "execution_date_utc"],
             "execution_date_utc",
             order,
-            target_exists=wh.exists("bronze", "stocks_raw"),
-        ),
-    )
-    return months
-
+            target_exists=exists,
+        )
+        if not exists:
+            return Taken()
+        days = stocks.agg(F.min("trading_day").alias("first"), F.max("trading_day").alias("last")).first()
+        return Taken(months_of(stocks, "execution_date_utc"), days["first"], days["last"])
 
-def high_water_mark(wh: Warehouse) -> date | None:
-    """Latest day of the fact. The small DimDate tells which months to look at first."""
-    fact, known = wh.read("gold", "FactStock"), latest_day(wh.read("gold", "DimDate"))
-    if known is None:
-        return None
-    recent = latest_day(fact.where(F.col(MONTH) >= known.year * 100 + known.month))
-    return recent or latest_day(fact)
+    _, taken = together(
+        lambda: append_typed(companies, COMPANIES_RAW, wh.path("bronze", "companies_raw"), run.as_of), quotes
+    )
+    return taken
 
 
-def new_quotes(run: Run, months: list[int] | None) -> DataFrame:
-    """Bronze quotes this run has to process, from the partitions of the batch's months only.
+def new_quotes(run: Run, taken: Taken) -> DataFrame:
+    """Bronze quotes this run has to process: all quotes of the batch's days, from the partitions of its months only.
 
     Without late quotes the high-water mark applies too. It is put on the bronze scan, before the
     dedup, which is safe because all versions of a quote share their day.
     """
     wh = run.warehouse
     raw = wh.read("bronze", "stocks_raw")
-    if months is not None:
-        raw = raw.where(F.col(MONTH).isin(months))
+    if taken.months is not None:
+        raw = raw.where(F.col(MONTH).isin(taken.months))
+        if taken.first is not None:
+            day = F.col("trading_day")
+            raw = raw.where(day.isNull() | ((day >= F.lit(taken.first)) & (day <= F.lit(taken.last))))
     if wh.exists("gold", "FactStock") and not run.late_quotes:
-        mark = high_water_mark(wh)
+        mark = wh.months("gold", "FactStock").latest_day()
         if mark is not None:
             raw = raw.where(
                 (F.col(MONTH) >= mark.year * 100 + mark.month) & (F.col("trading_day") > F.lit(mark))
@@ -105,36 +109,42 @@ def new_quotes(run: Run, months: list[int] | None) -> DataFrame:
     return raw.drop(MONTH)
 
 
-def build_silver(run: Run, months: list[int] | None) -> tuple[DataFrame, DataFrame]:
+def build_silver(run: Run, taken: Taken) -> tuple[DataFrame, DataFrame]:
     """The deduplicated views, written because several models use each; stocks of this run only."""
     wh = run.warehouse
     companies, stocks = together(
         lambda: wh.write("silver", "companies", silver.companies_view(wh.read("bronze", "companies_raw"))),
-        lambda: wh.write("silver", "stocks", silver.stocks_view(new_quotes(run, months))),
+        lambda: wh.write("silver", "stocks", silver.stocks_view(new_quotes(run, taken))),
     )
     return companies, stocks
 
 
-def tickers_concerned(run: Run, stocks: DataFrame) -> DataFrame:
-    """Every stored quote of the batch's tickers, so that a late quote cannot turn a dimension back.
+def ticker_states(run: Run, stocks: DataFrame) -> DataFrame:
+    """Of each ticker and exchange the state and time of its last quote, kept from run to run.
 
-    One scan of bronze over all months; columns the dimension does not need are pruned.
+    A run merges its quotes into the stored states, so a late quote cannot turn a ticker back, and no run looks at
+    quotes of earlier months again. Only a warehouse that has quotes but no states yet reads all of bronze, once.
     """
-    known = run.warehouse.read("bronze", "stocks_raw").drop(MONTH)
-    tickers = stocks.select("ticker_symbol").distinct()
-    return silver.stocks_view(lookup_join(known, tickers, ["ticker_symbol"], "left_semi"))
+    wh = run.warehouse
+    latest = silver.last_tickers(stocks)
+    if wh.exists("silver", TICKER_STATES):
+        latest = silver.last_tickers(wh.read("silver", TICKER_STATES, latest.schema).unionByName(latest))
+    elif wh.exists("snapshots", "DimTicker"):
+        latest = silver.last_tickers(silver.stocks_view(wh.read("bronze", "stocks_raw").drop(MONTH)))
+    return wh.write("silver", TICKER_STATES, latest)
 
 
 def build_snapshots(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
     wh = run.warehouse
-    history = tickers_concerned(run, stocks)
+    tickers = stocks.select("ticker_symbol", F.coalesce("exchange", F.lit("")).alias("exchange")).distinct()
+    concerned = ticker_states(run, stocks).join(tickers, ["ticker_symbol", "exchange"], "left_semi")
     staged = {
         "DimCompany": (
             silver.dim_company(silver.last_companies(companies), run.keys, run.as_of),
             "CompanyKey", COMPANY_CHECK_COLUMNS,
         ),
         "DimTicker": (
-            silver.dim_ticker(silver.last_tickers(history), run.keys, loaded_at=run.as_of),
+            silver.dim_ticker(concerned, run.keys, loaded_at=run.as_of),
             "TickerKey", TICKER_CHECK_COLUMNS,
         ),
     }
@@ -148,34 +158,43 @@ def build_snapshots(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
     together(*[lambda name=name: store(name) for name in staged])
 
 
-def build_marts(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
+def under_stored_companies(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """A quote of a day and ticker that is stored stays with the companies it is stored under, with the batch's values.
+
+    So a company that is renamed keeps its earlier quotes, and a newer quote of a stored day still replaces the older.
+    """
+    companies = stored.groupBy(*DAY_KEYS).agg(F.collect_set("CompanyKey").alias("_stored"))
+    joined = batch.join(companies, DAY_KEYS, "left")
+    moved = joined.withColumn("CompanyKey", F.explode(F.coalesce("_stored", F.array("CompanyKey")))).select(*batch.columns)
+    # Companies that shared a ticker give equal rows now.
+    return moved.dropDuplicates(list(STOCK_KEYS))
+
+
+def build_marts(run: Run, companies: DataFrame, stocks: DataFrame) -> list[int]:
+    """Rebuild the small marts and take the quotes into the fact; returns the months of the fact that changed."""
     wh = run.warehouse
 
     def versions(name: str) -> DataFrame:
         return expose(read_snapshot(wh.spark, wh.path("snapshots", name)), GOLD_COLUMNS[name])
 
-    def fact() -> None:
-        path, sort = wh.path("gold", "FactStock"), GOLD_SORT_KEYS["FactStock"]
+    def fact() -> list[int]:
+        table = wh.months("gold", "FactStock")
         # One row per key: the last quote of a ticker's day.
         daily = last_version(stocks, ["ticker_symbol", "exchange", "trading_day"], ["execution_date_utc"])
         batch = silver.fact_stock(daily, companies, run.keys)
-        if wh.exists("gold", "FactStock"):
-            # A quote that is stored under its company of that time stays there when the company is renamed.
-            stored = read_months(wh.spark, path, months_of(daily, "trading_day"), batch.schema).select(*DAY_KEYS, "CompanyKey")
-            moved = lookup_join(batch, stored.withColumnRenamed("CompanyKey", "_stored"), DAY_KEYS, "left")
-            batch = moved.where("_stored IS NULL OR _stored = CompanyKey").drop("_stored")
-            delete_insert_months(wh.spark, path, batch, STOCK_KEYS, "TradingDate", sort)
-        else:
-            write_months(batch, path, "TradingDate", sort)
+        if not table.exists():
+            table.replace(batch)
+            return list(table.locations())
+        stored = table.read(months_of(daily, "trading_day")).select(*DAY_KEYS, "CompanyKey")
+        return table.delete_insert(under_stored_companies(batch, stored), STOCK_KEYS)
 
     def dates() -> None:
         days = silver.dim_date(stocks)
         if wh.exists("gold", "DimDate"):
-            # Written first: the table cannot be read and replaced in one job.
-            days = pinned(wh.read("gold", "DimDate").unionByName(days).distinct(), "dates")
+            days = wh.read("gold", "DimDate").unionByName(days).distinct()
         wh.rebuild_mart("DimDate", days)
 
-    together(
+    changed, *_ = together(
         fact,
         dates,
         lambda: wh.rebuild_mart("DimTicker", versions("DimTicker")),
@@ -183,30 +202,28 @@ def build_marts(run: Run, companies: DataFrame, stocks: DataFrame) -> None:
         lambda: wh.rebuild_mart("FactFinancials", silver.fact_financials(companies, run.keys)),
         lambda: wh.rebuild_mart("FactForbesRank", silver.fact_rank(companies, run.keys)),
     )
+    return changed
 
 
 def check(run: Run) -> DataFrame:
     """One row per data test with its failures. A failure is reported and blocks nothing."""
-    gold = run.warehouse.gold()
-    return Q.summary(
+    wh = run.warehouse
+    gold = wh.gold()
+    rows = Q.summary(
         [
             (gold["DimTicker"], {"ticker_not_null": Q.ticker_null(), "currency_format": Q.currency_malformed()}),
-            (
-                gold["FactStock"],
-                {
-                    "fact_not_null": Q.fact_null(),
-                    "future_date": Q.in_future(run.as_of[:10]),
-                    "nonpositive": Q.nonpositive(),
-                },
-            ),
+            (gold["FactStock"], {"fact_not_null": Q.fact_null(), "nonpositive": Q.nonpositive()}),
+            # A table of its own, so that months before the run's are not opened for it.
+            (wh.months("gold", "FactStock").from_day(run.as_of[:10]), {"future_date": F.lit(True)}),
         ]
     )
+    return rows.unionByName(keychecks.failures(gold, keychecks.kept(wh).read()))
 
 
 def run_pipeline(run: Run, companies: DataFrame, stocks: DataFrame) -> tuple[Mapping[str, DataFrame], DataFrame]:
     """Staging, snapshots, marts and tests in dependency order; returns gold and the test report."""
-    months = load_bronze(run, companies, stocks)
-    companies_view, stocks_view = build_silver(run, months)
+    taken = load_bronze(run, companies, stocks)
+    companies_view, stocks_view = build_silver(run, taken)
     build_snapshots(run, companies_view, stocks_view)
-    build_marts(run, companies_view, stocks_view)
+    keychecks.refresh(run.warehouse, build_marts(run, companies_view, stocks_view))
     return run.warehouse.gold(), check(run)

@@ -1,4 +1,4 @@
-"""Copies of the gold tables for readers with full or limited access."""
+"""The gold tables for readers with full or limited access: masked copies, and references to everything else."""
 
 from __future__ import annotations
 
@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 
 from ..functions.masking import RARE_BELOW
 from ..operators.masking import limited_company, limited_rank
-from ..operators.upsert import copy_months, read_months
-from ..schemas import BY_MONTH, GOLD_COLUMNS, GOLD_SORT_KEYS
+from ..operators.sinks import point_table
+from ..schemas import GOLD, GOLD_COLUMNS, GOLD_SORT_KEYS, SWITCHED
 from ..session import together
+from ..sources.tables import ensure_database
 from .warehouse import Warehouse
 
 # Role -> (layer it may read, prefix of its tables).
@@ -20,37 +21,39 @@ ROLES = {
 }
 
 
-def full_set(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: gold[name].select(*columns) for name, columns in GOLD_COLUMNS.items()}
-
-
-def limited_set(gold: Mapping[str, DataFrame], below: int = RARE_BELOW) -> dict[str, DataFrame]:
-    """Companies and ranks masked, the other four tables as they are."""
-    tables = full_set(gold)
-    tables["DimCompany"] = limited_company(tables["DimCompany"], below)
-    tables["FactForbesRank"] = limited_rank(tables["FactForbesRank"])
-    return tables
+def masked_tables(gold: Mapping[str, DataFrame], below: int = RARE_BELOW) -> dict[str, DataFrame]:
+    """The tables that limited readers get in another form."""
+    return {
+        "DimCompany": limited_company(gold["DimCompany"].select(*GOLD_COLUMNS["DimCompany"]), below),
+        "FactForbesRank": limited_rank(gold["FactForbesRank"].select(*GOLD_COLUMNS["FactForbesRank"])),
+    }
 
 
 def publish(
     warehouse: Warehouse, role: str, below: int = RARE_BELOW, months: Sequence[int] | None = None
 ) -> dict[str, DataFrame]:
-    """Write the table set of a role, sorted by key, and return it by table name.
+    """Give a role its table set, as tables of its layer's database, and return it by table name.
 
-    The dated fact is copied month by month in the layout it is stored in, without a shuffle; with
-    ``months`` only these are copied anew, which suffices after a daily run. Who may read which
-    folder is for the storage or catalog to enforce; nothing here does.
+    Only masked tables are written, sorted by key. All others are catalog entries over gold's own files: nothing is
+    copied, and publishing again after a run moves the entries on, for the dated fact month by month, or with
+    ``months`` these alone. Who may read which database and folder is for catalog and storage to enforce.
     """
     layer, prefix = ROLES[role]
-    gold = warehouse.gold()
-    tables = full_set(gold) if role == "analyst_full" else limited_set(gold, below)
-
-    def write(name: str) -> DataFrame:
-        if ("gold", name) not in BY_MONTH:
-            return warehouse.write(layer, prefix + name, tables[name], GOLD_SORT_KEYS[name])
-        path = warehouse.path(layer, prefix + name)
-        copy_months(gold[name], path, GOLD_SORT_KEYS[name], months)
-        return read_months(warehouse.spark, path, schema=tables[name].schema)
-
-    written = together(*[lambda name=name: write(name) for name in tables])
-    return {prefix + name: df for name, df in zip(tables, written)}
+    spark = warehouse.spark
+    database = ensure_database(spark, warehouse.database(layer))
+    masked = masked_tables(warehouse.gold(), below) if role == "analyst_limited" else {}
+
+    def give(name: str) -> DataFrame:
+        entry = f"{database}.{prefix}{name}"
+        if ("gold", name) in SWITCHED:
+            return warehouse.months("gold", name).referenced_by(entry, months).read().select(*GOLD_COLUMNS[name])
+        if name in masked:
+            schema = masked[name].schema
+            warehouse.write(layer, prefix + name, masked[name], GOLD_SORT_KEYS[name])
+            point_table(spark, entry, warehouse.location(layer, prefix + name), schema)
+        else:
+            point_table(spark, entry, warehouse.location("gold", name), GOLD[name])
+        return spark.table(entry)
+
+    given = together(*[lambda name=name: give(name) for name in GOLD_COLUMNS])
+    return {prefix + name: df for name, df in zip(GOLD_COLUMNS, given)}

@@ -104,6 +104,8 @@ GOLD_COLUMNS: dict[str, tuple[str, ...]] = {name: tuple(schema.names) for name,
 # Dated tables are stored by month; the partition column is not one of their own.
 MONTH = "yyyymm"
 BY_MONTH = {("bronze", "stocks_raw"), ("gold", "FactStock")}
+# Of these, the ones whose months are replaced: schema and the column that tells the month.
+SWITCHED: dict[tuple[str, str], tuple[T.StructType, str]] = {("gold", "FactStock"): (GOLD["FactStock"], "TradingDate")}
 
 
 def _without(schema: T.StructType, *names: str) -> T.StructType:

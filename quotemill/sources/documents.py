@@ -33,8 +33,8 @@ def read_documents(
     return spark.read.schema(T.StructType([schema[f] for f in fields])).json(path)
 
 
-def parse_quotes(records: DataFrame, ticker: Column, payload: Column) -> DataFrame:
-    """Quote JSON to stock columns. Records that are empty or cannot be read are skipped."""
+def parse_quotes(records: DataFrame, ticker: Column, payload: Column, skip_empty: bool = True) -> DataFrame:
+    """Quote JSON to stock columns. Records that are empty or cannot be read are skipped, or kept without any value."""
     quote = F.from_json(payload, QUOTE_RECORD)
     present = F.coalesce(*[F.col(f"_quote.{f}").cast("string") for f in QUOTE_COLUMNS]).isNotNull()
     measures = {
@@ -45,7 +45,7 @@ def parse_quotes(records: DataFrame, ticker: Column, payload: Column) -> DataFra
     }
     return (
         records.select("*", ticker.alias("_ticker"), quote.alias("_quote"))
-        .where(present)
+        .where(present if skip_empty else F.lit(True))
         .select(
             *[c for c in records.columns],
             F.col("_ticker").alias("ticker_symbol"),

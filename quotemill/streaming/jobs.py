@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.upsert import append_absent_months, delete_insert_months
 from ..plans.warehouse import Warehouse
+from ..schemas import SWITCHED
 
 
 def read_files(
@@ -64,10 +66,16 @@ def upsert_gold(
     checkpoint: str,
     sort: Sequence[str] = (),
 ) -> None:
-    """Delete-and-insert every batch into a month-partitioned gold table."""
+    """Delete-and-insert every batch into a gold table stored by month.
+
+    The fact's months are switched in the catalog, so a batch that fails midway changes nothing and is taken again.
+    """
     path = warehouse.path("gold", table)
 
     def apply(batch: DataFrame, _: int) -> None:
-        delete_insert_months(batch.sparkSession, path, batch, keys, day, sort)
+        if ("gold", table) in SWITCHED:
+            replace(warehouse.months("gold", table), spark=batch.sparkSession).delete_insert(batch, keys)
+        else:
+            delete_insert_months(batch.sparkSession, path, batch, keys, day, sort)
 
     _run(stream, apply, checkpoint)

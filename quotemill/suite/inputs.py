@@ -40,6 +40,28 @@ def ranking_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def ticker_file(spark: SparkSession, sf_dir: str) -> str:
+    """The same as a ``;`` file, with names as the ranking file pads them."""
+    path = fresh_path(spark, "tickers")
+    rows = ticker_map(spark, sf_dir).select(
+        F.col("rank").cast("string").alias("Rank"), F.concat(F.col("company"), F.lit("  ")).alias("Company"), F.col("mapped_ticker").alias("Ticker")
+    )
+    rows.write.option("header", True).option("sep", ";").option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+def quote_feed(spark: SparkSession, sf_dir: str, factor: float = 1.0) -> DataFrame:
+    """A feed of many runs, one a day: some quotes are empty, some tickers missing, some asked for twice, one run has no time."""
+    orders = sample.table(spark, sf_dir, "orders")
+    run = F.date_format("o_orderdate", "yyyy-MM-dd'T22:15:30Z'")
+    return orders.select(
+        F.when(F.col("o_orderpriority") == "5-LOW", "unknown").otherwise(run).alias("run_at"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", " ").otherwise(F.concat(F.lit(" T"), F.col("o_custkey").cast("string"))).alias("ticker"),
+        F.when(F.col("o_orderstatus") == "P", "{}").otherwise(quote_payload(F.col("o_totalprice") * factor)).alias("info"),
+        F.col("o_orderkey").alias("position"),
+    )
+
+
 def ticker_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known tickers by rank and company; companies that made a loss have none."""
     return (
@@ -89,26 +111,35 @@ def stock_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Snapshots are taken of the orders of three periods, dated at the start of the following year.
-PERIODS = [("1995-01-01", "1997-01-01"), ("1997-01-01", "1999-01-01"), ("1999-01-01", "2002-01-01")]
+# The first has no beginning and the last no end.
+Period = tuple[str | None, str | None]
+PERIODS: list[Period] = [(None, "1997-01-01"), ("1997-01-01", "1999-01-01"), ("1999-01-01", None)]
+TAKEN = ["1997-01-01", "1999-01-01", "2002-01-01"]
 
 
-def _in_period(df: DataFrame, column: str, period: tuple[str, str]) -> DataFrame:
-    start, end = (F.lit(p).cast("timestamp") for p in period)
-    return df.where((F.col(column) >= start) & (F.col(column) < end))
+def _in_period(value: Column, period: Period, kind: str) -> Column:
+    start, end = (p and F.lit(p if kind == "timestamp" else p[:4]).cast(kind) for p in period)
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (value >= start)
+    return inside if end is None else inside & (value < end)
 
 
-def staged_companies(versions: DataFrame, period: tuple[str, str]) -> DataFrame:
+def staged_companies(versions: DataFrame, period: Period) -> DataFrame:
     """Companies with an order in the period; their industry is that of the last one."""
-    start, end = int(period[0][:4]), int(period[1][:4])
-    inside = versions.where((F.col("financial_year") >= start) & (F.col("financial_year") < end))
-    return silver.dim_company(silver.companies_view(inside.withColumn("financial_year", F.lit(start))), KEYS)
+    inside = versions.where(_in_period(F.col("financial_year"), period, "int"))
+    return silver.dim_company(silver.companies_view(inside.withColumn("financial_year", F.lit(0))), KEYS)
+
+
+def currency_by_status(stocks: DataFrame) -> DataFrame:
+    """Quotes whose currency follows the status of the order, so that a ticker's currency changes in time."""
+    return stocks.withColumn("currency", F.when(F.col("sector") == "F", "USD").when(F.col("sector") == "O", "EUR"))
 
 
-def staged_tickers(spark: SparkSession, sf_dir: str, period: tuple[str, str]) -> DataFrame:
+def staged_tickers(spark: SparkSession, sf_dir: str, period: Period) -> DataFrame:
     """Tickers quoted in the period; currency follows the status of their last quote."""
-    stocks = _in_period(sample.stocks_raw(spark, sf_dir), "execution_date_utc", period)
-    currency = F.when(F.col("sector") == "F", "USD").when(F.col("sector") == "O", "EUR")
-    tickers = stocks.withColumn("currency", currency).withColumn("sector", F.col("season"))
+    stocks = sample.stocks_raw(spark, sf_dir).where(_in_period(F.col("execution_date_utc"), period, "timestamp"))
+    tickers = currency_by_status(stocks).withColumn("sector", F.col("season"))
     key = F.concat_ws("|", "ticker_symbol", F.coalesce("exchange", F.lit("")))
     last = last_version(tickers.withColumn("_k", key), ["_k"], ["_ingested_at"]).drop("_k")
     return silver.dim_ticker(last, KEYS)

@@ -265,6 +265,35 @@ ORACLE: dict[str, str] = {
     "load_full_refresh": f"SELECT {COMPANY_COLUMNS} FROM {{companies_raw}}",
     "load_delete_keys": f"SELECT {COMPANY_COLUMNS} FROM {{company_versions}} WHERE profit_in_millions >= 0",
     "load_compact_dedup": f"SELECT {STOCK_COLUMNS} FROM {{stocks_view}}",
+    "load_delete_keys_months": f"""
+        SELECT {STOCK_COLUMNS} FROM {{stocks_raw}} s WHERE NOT EXISTS (
+            SELECT 1 FROM {{stocks_raw}} k WHERE year(k.trading_day) = 1996 AND k.sector = 'F'
+            AND k.ticker_symbol = s.ticker_symbol AND k.execution_date_utc = s.execution_date_utc)""",
+    "load_compact_months": f"""
+        SELECT {STOCK_COLUMNS} FROM {{stocks_raw}} WHERE trading_day >= DATE '1998-01-01'
+        UNION ALL
+        SELECT {STOCK_COLUMNS} FROM (
+            SELECT * REPLACE (close_price * 2 AS close_price) FROM {{stocks_view}} WHERE trading_day < DATE '1998-01-01')""",
+    "load_rankings_file": """
+        SELECT rank, "Company" AS company, CASE WHEN profit_in_millions > 0 THEN 'T' || (rank - 1) END AS ticker,
+               "Headquarters" AS headquarters, "Industry" AS industry, sales_in_millions, profit_in_millions, assets_in_millions,
+               market_value_in_millions, CAST(2025 AS INTEGER) AS financial_year
+        FROM {ranking_parsed} WHERE NOT bad""",
+    "sink_tickers_not_found": """
+        SELECT rank_text AS "Rank", "Company" FROM {ranking_parsed} WHERE bad OR profit_in_millions = 0""",
+    "load_quotes_feed": f"""
+        SELECT 'T' || o_custkey AS ticker_symbol, o_orderstatus AS sector, p * 0.5 AS open_price, p AS close_price,
+               p * 2 AS high_price, p * 0.25 AS low_price, o_orderkey * 1000 AS market_cap,
+               CASE WHEN o_custkey % 4 <> 0 THEN 'USD' END AS currency,
+               CASE WHEN o_custkey % 3 <> 0 THEN o_orderpriority END AS exchange,
+               CASE WHEN o_orderkey % 5 <> 0 THEN p * 0.125 END AS dividend,
+               strftime(d, '%Y-%m-%d') || ' 22:15:30' AS execution_date_utc, d AS trading_day,
+               {ints(("month(d)", "month"))}, dayname(d) AS day_of_week, {ints(("quarter(d)", "quarter"))},
+               {SEASON.format("d")} AS season
+        FROM (SELECT *, CAST(o_orderdate AS DATE) AS d, CASE WHEN year(o_orderdate) < 1998 THEN 1 ELSE 2 END * o_totalprice AS p
+              FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')
+              QUALIFY row_number() OVER (PARTITION BY o_custkey, d ORDER BY o_orderkey) = 1)
+        WHERE o_orderstatus <> 'P'""",
     "sink_create_replace": "SELECT * FROM supplier",
     "sink_ctas_sorted": f"SELECT * REPLACE ({ts('l_shipdate')} AS l_shipdate) FROM lineitem",
     "sink_rejects": """
@@ -355,6 +384,32 @@ ORACLE: dict[str, str] = {
         SELECT * FROM {fact_stock} WHERE TradingDate > (
             SELECT max(TradingDate) FROM {fact_stock} WHERE TradingDate < DATE '2000-06-15')""",
     "incr_delete_insert": "SELECT * FROM {upserted}",
+    "pipeline_three_runs": f"SELECT {ALL_FACT} FROM {{gold_stock}}",
+    "pipeline_late_quote": f"""
+        SELECT {key("ticker_symbol", "exchange")} AS TickerKey, ticker_symbol AS TickerSymbol, coalesce(exchange, '') AS Exchange,
+               'Equity' AS Class, CASE sector WHEN 'F' THEN 'USD' WHEN 'O' THEN 'EUR' ELSE '' END AS Currency,
+               coalesce(sector, '') AS Sector, CAST(NULL AS VARCHAR) AS ValidTo,
+               CASE WHEN trading_day >= DATE '1999-01-01' THEN '2025-01-02 00:00:00' ELSE '2025-01-03 00:00:00' END AS ValidFrom
+        FROM {{stocks_first}}
+        QUALIFY row_number() OVER (PARTITION BY ticker_symbol, coalesce(exchange, '') ORDER BY execution_date_utc DESC) = 1""",
+    "pipeline_renamed_same_day": f"""
+        WITH quoted AS (
+            SELECT *, 10 AS hour FROM {{stocks_first}} WHERE trading_day < DATE '1999-01-01'
+            UNION ALL
+            SELECT * REPLACE (close_price * 2 AS close_price), 22 AS hour FROM (
+                SELECT * FROM {{stocks_raw}} WHERE sector = 'F'
+                QUALIFY row_number() OVER (PARTITION BY ticker_symbol, execution_date_utc ORDER BY version) = 1)),
+        last_quotes AS (
+            SELECT *, min(hour) OVER same = 10 AS known FROM quoted
+            WINDOW same AS (PARTITION BY ticker_symbol, coalesce(exchange, ''), trading_day)
+            QUALIFY row_number() OVER (PARTITION BY ticker_symbol, coalesce(exchange, ''), trading_day ORDER BY hour DESC) = 1)
+        SELECT {STOCK_FACT} FROM (
+            SELECT q.*, CASE WHEN known THEN company ELSE company || ' Renamed' END AS company, headquarters
+            FROM last_quotes q JOIN {{companies_raw}} ON ticker = ticker_symbol)""",
+    "key_hash_star": """
+        SELECT company AS CompanyName, headquarters AS Headquarters, ticker_symbol AS TickerSymbol, coalesce(exchange, '') AS Exchange,
+               trading_day AS TradingDate, close_price AS ClosePrice, CAST(market_cap AS DOUBLE) AS MarketCap
+        FROM {stocks_first} JOIN {companies_raw} ON ticker = ticker_symbol""",
     "scd2_company": f"""
         SELECT * REPLACE ({ts("valid_from")} AS valid_from, {ts("valid_to")} AS valid_to) FROM {{company_history}}""",
     "scd2_ticker": f"""
@@ -565,6 +620,23 @@ ORACLE: dict[str, str] = {
         WHERE TradingDate >= DATE '2001-01-01' GROUP BY ALL""",
     "dq_pk_duplicates": """
         SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
+    "dq_gold_keys": """
+        WITH figures AS (SELECT * FROM {fact_financials} UNION ALL SELECT * FROM {fact_financials} WHERE Profit < 0),
+        quotes AS (SELECT * FROM {gold_stock} UNION ALL SELECT * FROM {gold_stock} WHERE year(TradingDate) = 1996),
+        firms AS (SELECT CompanyKey FROM {fact_financials} WHERE Profit >= 0),
+        listed AS (SELECT TickerKey FROM {dim_ticker} WHERE Exchange <> ''),
+        days AS (SELECT DateKey FROM {dim_date} WHERE Year < 2001)
+        SELECT 'DimCompany_repeated_key' AS test_name, CAST(0 AS BIGINT) AS failures
+        UNION ALL SELECT 'DimTicker_repeated_key', 0
+        UNION ALL SELECT 'DimDate_repeated_key', 0
+        UNION ALL SELECT 'FactForbesRank_repeated_key', 0
+        UNION ALL SELECT 'FactFinancials_repeated_key', count(*) FROM {fact_financials} WHERE Profit < 0
+        UNION ALL SELECT 'FactStock_repeated_key', count(*) FROM {gold_stock} WHERE year(TradingDate) = 1996
+        UNION ALL SELECT 'FactStock_CompanyKey_orphan', count(*) FROM quotes WHERE CompanyKey NOT IN (SELECT CompanyKey FROM firms)
+        UNION ALL SELECT 'FactStock_TickerKey_orphan', count(*) FROM quotes WHERE TickerKey NOT IN (SELECT TickerKey FROM listed)
+        UNION ALL SELECT 'FactStock_DateKey_orphan', count(*) FROM quotes WHERE DateKey NOT IN (SELECT DateKey FROM days)
+        UNION ALL SELECT 'FactFinancials_CompanyKey_orphan', count(*) FROM figures WHERE CompanyKey NOT IN (SELECT CompanyKey FROM firms)
+        UNION ALL SELECT 'FactForbesRank_CompanyKey_orphan', count(*) FROM {fact_rank} WHERE CompanyKey NOT IN (SELECT CompanyKey FROM firms)""",
     "dq_summary": f"""
         SELECT 'ticker_not_null' AS test_name, CAST(0 AS BIGINT) AS failures
         UNION ALL SELECT 'currency_format', count(*) FROM {{dim_ticker}} WHERE strlen(Currency) <> 3

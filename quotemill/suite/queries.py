@@ -15,13 +15,15 @@ from ..functions.calendar import date_attributes, run_timestamp_text, season
 from ..functions.keys import surrogate_key
 from ..operators import dedup, joins, masking, scd2, sinks, upsert, windows
 from ..operators import quality as Q
-from ..plans import analytics, classic, publish, silver
+from ..operators.months import MonthTable
+from ..plans import analytics, bronze, classic, keychecks, publish, silver
+from ..plans.pipeline import Run, run_pipeline
 from ..plans.warehouse import Warehouse
 from ..session import fresh_path, pinned
 from ..sources import delimited, documents, sample, tables
 from ..streaming import jobs
 from . import inputs
-from .scratch import KEYS, classic_star, database, gold, rounded, shown, warehouse
+from .scratch import AS_OF, KEYS, classic_star, database, gold, rounded, shown, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,11 +120,20 @@ def load_insert_absent_stock(spark, sf):
     return _columns(upsert.read_months(spark, path))
 
 
+def _month_table(spark, schema, day, sort=()):
+    """A table of this application that is switched by month."""
+    path = fresh_path(spark, "switched")
+    return MonthTable(spark, f"{database(spark)}.{path.rsplit('/', 1)[-1].replace('-', '_')}", path, schema, day, tuple(sort))
+
+
 @register()
 def load_skip_existing_day(spark, sf):
+    """The stored days come from the months of the batch alone."""
     stocks = sample.stocks_raw(spark, sf)
-    target = stocks.where(F.col("trading_day") < F.lit("1999-01-01").cast("date"))
-    return _columns(upsert.skip_loaded_days(target, stocks))
+    table = _month_table(spark, schemas.STOCKS_RAW, "execution_date_utc")
+    table.replace(stocks.where(F.col("trading_day") < F.lit("1999-01-01").cast("date")))
+    stored = table.read(table.months_of(stocks)).select("trading_day")
+    return _columns(upsert.skip_loaded_days(stored, stocks))
 
 
 @register()
@@ -148,6 +159,60 @@ def load_delete_keys(spark, sf):
     return _columns(upsert.delete_keys(versions, losses, ["rank"]))
 
 
+@register()
+def load_delete_keys_months(spark, sf):
+    """Only the months that hold a listed key are rewritten."""
+    stocks = sample.stocks_raw(spark, sf)
+    table = _month_table(spark, schemas.STOCKS_RAW, "execution_date_utc")
+    table.replace(stocks)
+    filled = stocks.where((F.year("trading_day") == 1996) & (F.col("sector") == "F"))
+    table.delete(filled, _stock_keys())
+    return _columns(table.read().drop(schemas.MONTH))
+
+
+@register()
+def load_compact_months(spark, sf):
+    """Months that were added to are packed to the last version of each quote; later ones keep their files."""
+    stocks = sample.stocks_raw(spark, sf)
+    table = _month_table(spark, schemas.STOCKS_RAW, "execution_date_utc")
+    table.append(stocks)
+    again = stocks.where(F.col("trading_day") < F.lit("1998-01-01").cast("date"))
+    later = (F.unix_timestamp("_ingested_at") + 4_000_000_000).cast("timestamp")
+    table.append(again.withColumn("close_price", F.col("close_price") * 2).withColumn("_ingested_at", later))
+    table.compact(_stock_keys(), ["_ingested_at"])
+    return _columns(table.read().drop(schemas.MONTH))
+
+
+@register()
+def load_rankings_file(spark, sf):
+    """Ranking and ticker files to bronze: what was accepted."""
+    wh = Warehouse(spark, fresh_path(spark, "files"))
+    tickers = delimited.read_ticker_map(spark, inputs.ticker_file(spark, sf))
+    bronze.load_rankings(wh, inputs.ranking_file(spark, sf), tickers, AS_OF)
+    return _columns(wh.read("bronze", "companies_raw"))
+
+
+@register()
+def sink_tickers_not_found(spark, sf):
+    """Companies without a ticker, as their file lists them."""
+    wh = Warehouse(spark, fresh_path(spark, "files"))
+    tickers = delimited.read_ticker_map(spark, inputs.ticker_file(spark, sf))
+    path = fresh_path(spark, "not-found")
+    bronze.load_rankings(wh, inputs.ranking_file(spark, sf), tickers, AS_OF, missing=path)
+    return spark.read.schema("Rank string, Company string").option("header", True).option("sep", ";").csv(path)
+
+
+@register()
+def load_quotes_feed(spark, sf):
+    """A feed of the runs before 1998, then one of all runs with other prices: days that were loaded are skipped."""
+    wh = Warehouse(spark, fresh_path(spark, "feeds"))
+    early = F.col("run_at").like("199%") & (F.col("run_at") < "1998")
+    companies = sample.companies_raw(spark, sf)
+    bronze.load_quotes(wh, inputs.quote_feed(spark, sf).where(early), AS_OF, companies)
+    bronze.load_quotes(wh, inputs.quote_feed(spark, sf, 2.0), AS_OF, companies)
+    return _columns(wh.read("bronze", "stocks_raw").drop(schemas.MONTH))
+
+
 @register()
 def load_compact_dedup(spark, sf):
     """A table that was loaded twice, compacted to the last version of each quote."""
@@ -184,10 +249,10 @@ def sink_rejects(spark, sf):
 
 @register()
 def sink_month_partition(spark, sf):
-    path = fresh_path(spark, "months")
-    upsert.write_months(sample.stocks_raw(spark, sf), path, "execution_date_utc", ["ticker_symbol"])
+    table = _month_table(spark, schemas.STOCKS_RAW, "execution_date_utc", ["ticker_symbol"])
+    table.replace(sample.stocks_raw(spark, sf))
     return (
-        spark.read.parquet(path)
+        table.read()
         .groupBy("yyyymm")
         .agg(
             F.count(F.lit(1)).alias("n_quotes"),
@@ -425,29 +490,90 @@ def _before(day: str):
 
 @register()
 def incr_high_watermark(spark, sf):
+    """The mark of the stored fact is asked of its files' footers."""
     facts = pinned(inputs.stock_facts(spark, sf), "facts")
-    return upsert.newer_than(facts, facts.where(_before("2000-06-15")))
+    table = _month_table(spark, schemas.GOLD["FactStock"], "TradingDate")
+    table.replace(facts.where(_before("2000-06-15")))
+    return facts.where(F.col("TradingDate") > F.lit(table.latest_day()))
 
 
-def _fact_before_1999(spark, sf, path):
+def _fact_before_1999(spark, sf, table):
     facts = pinned(inputs.stock_facts(spark, sf), "facts")
-    sort = schemas.GOLD_SORT_KEYS["FactStock"]
-    upsert.write_months(facts.where(_before("1999-01-01")), path, "TradingDate", sort)
-    restated = facts.where(~_before("1998-07-10")).withColumn("ClosePrice", F.col("ClosePrice") * 2)
-    return restated, sort
+    table.replace(facts.where(_before("1999-01-01")))
+    return facts.where(~_before("1998-07-10")).withColumn("ClosePrice", F.col("ClosePrice") * 2)
 
 
 @register()
 def incr_delete_insert(spark, sf):
-    path = fresh_path(spark, "fact")
-    batch, sort = _fact_before_1999(spark, sf, path)
-    upsert.delete_insert_months(spark, path, batch, schemas.STOCK_KEYS, "TradingDate", sort)
-    return upsert.read_months(spark, path, schema=batch.schema)
+    table = _month_table(spark, schemas.GOLD["FactStock"], "TradingDate", schemas.GOLD_SORT_KEYS["FactStock"])
+    table.delete_insert(_fact_before_1999(spark, sf, table), schemas.STOCK_KEYS)
+    return table.read().drop(schemas.MONTH)
+
+
+# --- runs ---------------------------------------------------------------------------------------
+
+
+def _runs(spark, *runs):
+    """A warehouse after some runs of (as_of, companies, stocks)."""
+    wh = Warehouse(spark, fresh_path(spark, "runs"))
+    for as_of, companies, stocks in runs:
+        run_pipeline(Run(wh, as_of, keys=KEYS), companies, stocks)
+    return wh
+
+
+def _since(day: str):
+    return F.col("trading_day") >= F.lit(day).cast("date")
+
+
+@register()
+def pipeline_three_runs(spark, sf):
+    """The fact after early quotes, late ones, and everything once more."""
+    companies, stocks = sample.companies_raw(spark, sf), sample.stocks_raw(spark, sf)
+    parts = stocks.where(~_since("1997-01-01")), stocks.where(_since("1999-01-01")), stocks
+    wh = _runs(spark, *[(f"2025-01-0{i + 2} 00:00:00", companies, part) for i, part in enumerate(parts)])
+    return wh.gold()["FactStock"].select(*schemas.GOLD_COLUMNS["FactStock"])
+
+
+@register()
+def pipeline_late_quote(spark, sf):
+    """Tickers after a run of late quotes: their state stays that of the last quote."""
+    companies, stocks = sample.companies_raw(spark, sf), inputs.currency_by_status(sample.stocks_raw(spark, sf))
+    early = ("2025-01-03 00:00:00", companies, stocks.where(~_since("1999-01-01")))
+    wh = _runs(spark, ("2025-01-02 00:00:00", companies, stocks.where(_since("1999-01-01"))), early)
+    return shown(wh.gold()["DimTicker"])
+
+
+@register()
+def pipeline_renamed_same_day(spark, sf):
+    """The fact after all companies are renamed and newer quotes of stored days arrive."""
+    companies, stocks = sample.companies_raw(spark, sf), sample.stocks_raw(spark, sf)
+    at = F.col("execution_date_utc")
+    morning = stocks.where(~_since("1999-01-01")).withColumn("execution_date_utc", at + F.expr("INTERVAL 10 HOURS"))
+    evening = stocks.where(F.col("sector") == "F").withColumn("execution_date_utc", at + F.expr("INTERVAL 22 HOURS"))
+    renamed = companies.withColumn("company", F.concat("company", F.lit(" Renamed"))).withColumn(
+        "_ingested_at", F.lit("2030-01-01").cast("timestamp")
+    )
+    doubled = evening.withColumn("close_price", F.col("close_price") * 2)
+    wh = _runs(spark, ("2025-01-02 00:00:00", companies, morning), ("2025-01-03 00:00:00", renamed, doubled))
+    return wh.gold()["FactStock"].select(*schemas.GOLD_COLUMNS["FactStock"])
+
+
+@register()
+def key_hash_star(spark, sf):
+    """Gold under the default 64-bit keys, with the keys joined away."""
+    wh = Warehouse(spark, fresh_path(spark, "hashed"))
+    run_pipeline(Run(wh, AS_OF), sample.companies_raw(spark, sf), sample.stocks_raw(spark, sf))
+    t = wh.gold()
+    companies = t["DimCompany"].select("CompanyKey", "CompanyName", "Headquarters")
+    tickers = t["DimTicker"].select("TickerKey", "TickerSymbol", "Exchange")
+    fact = t["FactStock"].select("CompanyKey", "TickerKey", "TradingDate", "ClosePrice", "MarketCap")
+    star = joins.lookup_join(joins.lookup_join(fact, companies, ["CompanyKey"]), tickers, ["TickerKey"])
+    return star.drop("CompanyKey", "TickerKey")
 
 
 def _snapshots(spark, staged, key, check):
     path = fresh_path(spark, "versions")
-    for i, (rows, (_, taken)) in enumerate(zip(staged, inputs.PERIODS)):
+    for i, (rows, taken) in enumerate(zip(staged, inputs.TAKEN)):
         scd2.store_snapshot(spark, path, rows, key, check, taken, first=i == 0)
     return scd2.read_snapshot(spark, path)
 
@@ -593,9 +719,9 @@ def win_group_count(spark, sf):
 
 @register()
 def sub_scalar_max(spark, sf):
-    t = gold(spark, sf)
-    latest = t["DimDate"].select(F.max("TradingDate")).scalar()
-    return t["FactStock"].where(F.col("TradingDate") == latest).select(*schemas.GOLD_COLUMNS["FactStock"])
+    """Quotes of the fact's latest day: its files' footers tell the day, the catalog its month."""
+    table = warehouse(spark, sf).months("gold", "FactStock")
+    return table.on_day(table.latest_day()).select(*schemas.GOLD_COLUMNS["FactStock"])
 
 
 # --- scalar functions ---------------------------------------------------------------------------
@@ -786,7 +912,8 @@ def _gold_fact(spark, sf):
 
 @register()
 def dq_future_date(spark, sf):
-    return _gold_fact(spark, sf).where(Q.in_future("2001-01-01"))
+    later = warehouse(spark, sf).months("gold", "FactStock").from_day("2001-01-01")
+    return later.where(Q.in_future("2001-01-01")).select(*schemas.GOLD_COLUMNS["FactStock"])
 
 
 @register()
@@ -814,6 +941,21 @@ def dq_pk_duplicates(spark, sf):
     return Q.duplicates(sample.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@register()
+def dq_gold_keys(spark, sf):
+    """All key checks, over gold with repeated rows in two facts and members missing in three dimensions."""
+    t = gold(spark, sf)
+    figures, fact = t["FactFinancials"], t["FactStock"]
+    planted = {
+        "DimCompany": t["DimCompany"].join(figures.where(F.col("Profit") >= 0).select("CompanyKey"), "CompanyKey", "left_semi"),
+        "DimTicker": t["DimTicker"].where(F.col("Exchange") != ""),
+        "DimDate": t["DimDate"].where(F.col("Year") < 2001),
+        "FactFinancials": figures.unionByName(figures.where(F.col("Profit") < 0)),
+        "FactForbesRank": t["FactForbesRank"],
+    }
+    return keychecks.failures(planted, keychecks.count_keys(fact.unionByName(fact.where(F.year("TradingDate") == 1996))))
+
+
 @register()
 def dq_summary(spark, sf):
     t = gold(spark, sf)
@@ -902,11 +1044,11 @@ def stream_bronze_ingest(spark, sf):
 @register()
 def stream_gold_upsert(spark, sf):
     wh = Warehouse(spark, fresh_path(spark, "stream"))
-    batch, sort = _fact_before_1999(spark, sf, wh.path("gold", "FactStock"))
+    batch = _fact_before_1999(spark, sf, wh.months("gold", "FactStock"))
     feed = f"{wh.root}/feed"
     batch.write.parquet(feed)
     jobs.upsert_gold(
         jobs.read_files(spark, feed, batch.schema), wh, "FactStock", schemas.STOCK_KEYS, "TradingDate",
-        f"{wh.root}/checkpoint", sort,
+        f"{wh.root}/checkpoint",
     )
-    return upsert.read_months(spark, wh.path("gold", "FactStock"))
+    return wh.read("gold", "FactStock").drop(schemas.MONTH)
