@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
@@ -154,17 +154,22 @@ def append_absent_months(
     day: str,
     order: Sequence[str],
     target_exists: bool = True,
+    doubtful: Column | None = None,
 ) -> list[int] | None:
     """Append the batch's rows whose key is not stored yet, reading only the batch's months.
 
-    Returns these months, or None for a table that was new.
+    ``doubtful`` holds for the rows whose key may be stored; the others are known to be new, each key once, and are
+    appended without a look at the table. Returns the months that were read, or None for a table that was new.
     """
     months = None
     if target_exists:
         batch = pinned(batch, "batch")
-        months = months_of(batch, day)
-        stored = read_months(spark, path, months, batch.schema)
-        batch = insert_absent(stored, batch, keys, order)
+        asked, new = (batch, None) if doubtful is None else (batch.where(doubtful), batch.where(~doubtful))
+        months = months_of(asked, day)
+        if months or new is None:
+            stored = read_months(spark, path, months, batch.schema)
+            asked = insert_absent(stored, asked, keys, order)
+            batch = asked if new is None else asked.unionByName(new)
     else:
         batch = keep_first(batch, keys, order)
     with_month(batch, day).hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)

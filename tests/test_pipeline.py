@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -153,6 +154,79 @@ def test_stream_ingest_in_several_batches_and_again(spark, inputs, path):
     assert read_months(spark, wh.path("bronze", "stocks_raw")).count() == n
 
 
+QUOTE = "k string, at timestamp, v int"
+
+
+def quotes(spark, *items):
+    """(key, seconds from now, version) as rows of a feed."""
+    now = int(time.time())
+    return spark.createDataFrame(items, "k string, s long, v int").select("k", F.timestamp_seconds(F.lit(now) + F.col("s")).alias("at"), "v")
+
+
+@pytest.fixture
+def feed(spark, path, monkeypatch):
+    """Batches of frames through the stream; every batch's months that were compared."""
+    wh, compared = Warehouse(spark, path), []
+    append = jobs.append_absent_months
+
+    def spied(*args, **more):
+        compared.append(append(*args, **more))
+
+    monkeypatch.setattr(jobs, "append_absent_months", spied)
+
+    def take(frame, recent="1 day"):
+        frame.coalesce(1).write.mode("append").parquet(f"{path}/feed")
+        stream = jobs.read_files(spark, f"{path}/feed", frame.schema)
+        jobs.ingest_bronze(stream, wh, "q", ["k", "at"], "at", ["v"], f"{path}/checkpoint", recent)
+        return sorted((r.k, r.v) for r in read_months(spark, wh.path("bronze", "q")).collect())
+
+    return take, compared, monkeypatch
+
+
+def test_stream_knows_recent_keys_and_compares_older_ones(spark, feed):
+    take, compared, _ = feed
+    soon, old = quotes(spark, ("new", 3600, 1)), quotes(spark, ("old", -(10**8), 1))
+    assert take(quotes(spark, ("a", -60, 2), ("a", -60, 1), ("b", -60, None))) == [("a", 1), ("b", None)]
+    assert take(soon.union(old)) == [("a", 1), ("b", None), ("new", 1), ("old", 1)]
+    # Copies stop at the state: nothing is left to compare or to append. Versions that come later are copies too.
+    assert take(soon.union(old).withColumn("v", F.lit(0))) == [("a", 1), ("b", None), ("new", 1), ("old", 1)]
+    assert len(compared) == 2
+    # A key's first row wins, a row without time is compared, a quote newer than any before is not.
+    nowhere = quotes(spark, ("c", 0, 1)).withColumn("at", F.lit(None).cast("timestamp"))
+    assert ("c", 1) in take(nowhere)
+    assert ("far", 1) in take(quotes(spark, ("far", 40 * 86400, 1)))
+    past = old.select(F.date_format("at", "yyyyMM").cast("int")).first()[0]
+    assert compared == [None, [past], [], []]
+
+
+def test_stream_batch_that_fails_is_taken_once(spark, feed):
+    take, _, monkeypatch = feed
+    assert take(quotes(spark, ("a", 0, 1))) == [("a", 1)]
+    append = jobs.append_absent_months
+
+    def lost(*args, **more):
+        append(*args, **more)
+        raise OSError("after the append")
+
+    frame = quotes(spark, ("b", 5000, 1), ("a", 0, 2), ("c", -(10**7), 1))
+    monkeypatch.setattr(jobs, "append_absent_months", lost)
+    with pytest.raises(Exception, match="after the append"):
+        take(frame)
+    monkeypatch.setattr(jobs, "append_absent_months", append)
+    stored = take(quotes(spark, ("d", 0, 1)))
+    assert [s for s in stored if s[0] in "bcd"] == [("b", 1), ("c", 1), ("d", 1)]
+
+
+def test_stream_keys_of_earlier_spans_are_compared(spark, feed):
+    """A quote whose clock runs ahead comes again when the span it arrived in is over and forgotten."""
+    take, _, _ = feed
+    ahead = quotes(spark, ("a", 30, 1), ("b", -5, 1))
+    assert take(ahead, "2 seconds") == [("a", 1), ("b", 1)]
+    for _ in range(3):
+        time.sleep(2.1)
+        assert take(ahead, "2 seconds") == [("a", 1), ("b", 1)]
+
+
 def test_stream_upsert_replaces_keys(spark, path):
     wh = Warehouse(spark, path)
     schema = "TradingDate date, k int, v string"
