@@ -11,9 +11,11 @@ in another document, and equal contexts travel once per task.
 What happens there. The suffixes of all contexts of an anchor are sorted with their common-prefix lengths. A stack
 scan walks the tree of common-prefix intervals and reports every interval of LENGTH bytes or more whose occurrences
 are preceded by different bytes: the maximal repeat groups, with all their occurrences and the smallest document.
-Occurrences in later documents are removed. Windows partition over anchors, so the union over all places is exact.
+Equal contexts travel as one with their smallest and largest document; in the tree its suffixes are leaves of several
+occurrences. Groups are maximal within contexts. Occurrences in later documents are removed. Windows partition over anchors, so the union over all places is exact.
 
-Skew. Exact copies of whole documents are settled by their SHA-256 beforehand. A task sends one entry for an anchor
+Skew. Exact copies of whole documents are settled by their SHA-256 beforehand, in a join that spreads texts of many
+copies. A task sends one entry for an anchor
 that several of its documents share. Anchors in more than HOT_SHARE of the documents are too many contexts for one
 place; their windows are dealt one by one by their own bytes. There are at most (anchors per document) / HOT_SHARE of
 them, whatever the input's size, and being on that list changes where work is done, never the result.
@@ -28,6 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
 from .common import documents, ranges, release, shuffle_partitions, slices, spare, texts_of, written
 
 LENGTH = 50
@@ -264,7 +267,9 @@ def scan_intervals(common: list[int], low: list[int], before: list[int], length:
 def repeat_groups(contexts: list[bytes], low: np.ndarray, high: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(context, begin, end, smallest document) of the occurrences of maximal repeats in distinct contexts.
 
-    low, high: smallest and largest document of each context. Occurrences that no later document has are left out.
+    low, high: smallest and largest document of each context. A context of several documents stands for all its
+    occurrences: its suffixes are leaves with several occurrences, and a leaf is an interval of its own where its prefix is
+    longer than what it shares with its neighbours. Occurrences that no later document has are left out.
     """
     data = np.frombuffer(b"".join(contexts), np.uint8)
     sizes = np.array([len(c) for c in contexts], np.int64)
@@ -287,14 +292,17 @@ def repeat_groups(contexts: list[bytes], low: np.ndarray, high: np.ndarray, leng
     joined = np.concatenate([[False], common >= length, [False]])
     starts = np.flatnonzero(joined[1:] & ~joined[:-1])
     ends = np.flatnonzero(~joined[1:] & joined[:-1])
-    if not len(starts):
-        return
     least = low[owner]
+    # Leaves: only at a context's first byte do unknown bytes stand in front; the others are part of a longer repeat.
+    around = np.concatenate([[0], common, [0]])
+    leaf = np.flatnonzero((low < high)[owner] & (before == _DIVERSE) & (rest > np.maximum(around[1:], around[:-1])))
+    first, last, prefix, smallest = [leaf], [leaf], [rest[leaf]], [least[leaf]]
+    if not len(starts) and not len(leaf):
+        return
     # Runs with one common prefix are one interval; the others go through the stack.
     inner = ranges(starts, ends - starts)
     cuts = np.cumsum(ends - starts) - (ends - starts)
-    flat = np.minimum.reduceat(common[inner], cuts) == np.maximum.reduceat(common[inner], cuts)
-    first, last, prefix, smallest = [], [], [], []
+    flat = np.minimum.reduceat(common[inner], cuts) == np.maximum.reduceat(common[inner], cuts) if len(cuts) else np.empty(0, bool)
     if flat.any():
         a, b = starts[flat], ends[flat]
         members = ranges(a, b - a + 1)
@@ -358,17 +366,9 @@ def removable(packs: Iterable[tuple[bytes, bytes]], length: int, gram: int) -> I
     check = key.astype(np.uint32).view(np.int32)
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(begin, len(key)))
-    # Equal contexts were merged into one leaf: what their documents share is the whole context.
-    lone = np.flatnonzero(low < high)
-    if len(lone):
-        yield (
-            check[lone],
-            np.array([_digest(contexts[i]) for i in lone], np.int64),
-            np.zeros(len(lone), np.int64),
-            np.array([len(contexts[i]) for i in lone], np.int64),
-            low[lone],
-        )
-    begin, size = begin[size > 1], size[size > 1]
+    # A lone context of one document repeats nothing.
+    repeated = (size > 1) | (low[begin] < high[begin])
+    begin, size = begin[repeated], size[repeated]
     weights = [sum(len(contexts[i]) - length + 1 for i in range(b, b + n)) for b, n in zip(begin.tolist(), size.tolist())]
     for i, j in slices(begin, weights, SUFFIXES):
         chosen = ranges(begin[i:j], size[i:j])
@@ -425,9 +425,11 @@ def _decided(docs: DataFrame, length: int, gram: int) -> DataFrame:
     often = max(HOT_LEAST, int(count * HOT_SHARE))
     buckets = max(2 * shuffle_partitions(spark), -(-total // GROUP))
 
-    digests = keyed.where(F.octet_length("text") >= length).select(*keys, F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    earliest = digests.groupBy("sha").agg(F.min("doc").alias("least"))
-    copies = written(digests.join(earliest, "sha").where("doc > least").select(*keys).distinct(), "copies")
+    long = keyed.where(F.octet_length("text") >= length)
+    digests = written(long.select(*keys, F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha")), "digests")
+    met = digests.groupBy("sha").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    earliest = written(met.where("least < most").select("sha", "least"), "earliest")
+    copies = written(lookup_join(digests, earliest, ["sha"]).where("doc > least").select(*keys).distinct(), "copies")
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()

@@ -198,6 +198,16 @@ def test_suffix_dedup_awkward(awkward, empty, monkeypatch):
     assert left.where("text IS NULL").count() == 2
     assert left.count() == sum(1 for r in cut_brute(rows) if r[2] == 0 or r[2] < r[1])
 
+def test_equal_contexts_are_leaves_of_the_tree():
+    """Suffixes of a context that several documents hold form intervals, maximal to the left and to the right."""
+    one, two = b"x" + b"ab" * 30, b"y" + b"ab" * 30
+    low, high = np.array([3, 5]), np.array([3, 9])
+    alone = [tuple(int(x[0]) for x in g) for g in suffix_dedup.repeat_groups([two], low[1:], high[1:], 50)]
+    assert alone == [(0, 0, 61, 5)]
+    found = {(int(o), int(a), int(b), int(d)) for g in suffix_dedup.repeat_groups([one, two], low, high, 50) for o, a, b, d in zip(*g)}
+    assert (1, 0, 61, 5) in found and (1, 1, 61, 3) in found
+    assert not any(o == 0 and d == 3 and (a, b) == (0, 61) for o, a, b, d in found)  # nobody repeats the first as a whole
+
 
 def test_interval_scan_reports_maximal_repeats():
     found = list(suffix_dedup.scan_intervals([60, 55, 55], [4, 2, 9, 1], [97, 97, 98, 97], 50))
