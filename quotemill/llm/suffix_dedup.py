@@ -12,13 +12,14 @@ What happens there. The suffixes of all contexts of an anchor are sorted with th
 scan walks the tree of common-prefix intervals and reports every interval of LENGTH bytes or more whose occurrences
 are preceded by different bytes: the maximal repeat groups, with all their occurrences and the smallest document.
 Equal contexts travel as one with their smallest and largest document; in the tree its suffixes are leaves of several
-occurrences. Groups are maximal within contexts. Occurrences in later documents are removed. Windows partition over anchors, so the union over all places is exact.
+occurrences. Groups are maximal within contexts. Occurrences in later documents are removed. Windows partition over
+anchors, so the union over all places is exact.
 
 Skew. Exact copies of whole documents are settled by their SHA-256 beforehand, in a join that spreads texts of many
-copies. A task sends one entry for an anchor
-that several of its documents share. Anchors in more than HOT_SHARE of the documents are too many contexts for one
-place; their windows are dealt one by one by their own bytes. There are at most (anchors per document) / HOT_SHARE of
-them, whatever the input's size, and being on that list changes where work is done, never the result.
+copies. A task sends one entry for an anchor that several of its documents share. Anchors in more than HOT_SHARE of the
+documents are too many contexts for one place; their windows are dealt one by one by their own bytes. There are at most
+(anchors per document) / HOT_SHARE of them, whatever the input's size, and being on that list changes where work is
+done, never the result.
 """
 
 from __future__ import annotations
