@@ -21,6 +21,8 @@ from .components import components
 
 WIDTH = 4
 BUDGET = 4
+#: Fingerprints dealt to a task, each once per choice of blocks. Moves work only; no result depends on it.
+DEALT = 1 << 20
 SEED = 42
 BLOCKS = (11, 11, 11, 11, 10, 10)
 #: Trie leaves joined at once, and node pairs held at once, in one worker.
@@ -147,18 +149,19 @@ def links(distinct: DataFrame, budget: int = BUDGET, blocks: tuple[int, ...] = B
     """Distinct (fp, node) -> edges (a, b) between nodes whose connected groups are those of all close pairs.
 
     ``blocks`` are bit widths; all but ``budget`` of them agree in any close pair. A place's share of a task
-    is one range of sorted fingerprints, so memory follows the task's input.
+    is one range of sorted fingerprints, so memory follows the task's input: about DEALT fingerprints, however many
+    there are in all.
     """
     import pyarrow as pa
 
     kept = len(blocks) - budget
     if kept < 1 or sum(blocks) != 64:
         raise ValueError("blocks must have 64 bits in all and outnumber the budget")
-    choice = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("place")) for i, m in enumerate(_masks(blocks, kept))])
-    )
+    masks = _masks(blocks, kept)
+    choice = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("place")) for i, m in enumerate(masks)]))
+    parts = max(shuffle_partitions(distinct.sparkSession), -(-distinct.count() * len(masks) // DEALT))
     dealt = distinct.select("fp", "node", choice.alias("k")).select("k.c", "k.place", "fp", "node")
-    dealt = dealt.repartition(shuffle_partitions(distinct.sparkSession), "c", "place")
+    dealt = dealt.repartition(parts, "c", "place")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
