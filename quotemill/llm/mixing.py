@@ -16,8 +16,18 @@ from pyspark.sql import functions as F
 from .common import documents, spare, word_count, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Hex digits of the key that name a range; 256 ranges of each source.
+#: Hex digits of the key that name a range, two at least: 256 ranges of each source, and 16 times as many whenever a range
+#: of a source of all rows would hold more than RANGE_ROWS. Moves work only; no result depends on it.
 RANGE_DIGITS = 2
+RANGE_ROWS = 1 << 20
+
+
+def range_digits(rows: int) -> int:
+    """Digits that keep the ranges of so many rows small."""
+    digits = RANGE_DIGITS
+    while rows > RANGE_ROWS << 4 * digits:
+        digits += 1
+    return digits
 
 
 def budgets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0, most_epochs: int = 3) -> DataFrame:
@@ -74,7 +84,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0,
     plan = budgets(
         rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, share=share, most_epochs=most_epochs
     )
-    ranged = rows.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    ranged = rows.withColumn("range", F.substring("key", 1, range_digits(rows.count())))
     in_range = Window.partitionBy("source", "range").orderBy("key", "doc_id")
     summed = ranged.withColumn(
         "ahead", F.coalesce(F.sum("size").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
