@@ -131,6 +131,13 @@ def test_mixing_reshares(spark):
     assert target["b"] == pytest.approx(1960 * 2 / 3) and target["c"] == pytest.approx(1960 / 3)
 
 
+def test_mixing_ranges_follow_the_rows(docs, monkeypatch):
+    assert [mixing.range_digits(n) for n in (0, 1 << 28, (1 << 28) + 1, 10**12)] == [2, 2, 3, 5]
+    wide = sorted(map(repr, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "range_digits", lambda rows: 4)
+    assert sorted(map(repr, mixing.mix(docs).collect())) == wide
+
+
 def test_mixing_awkward(awkward, empty):
     got = mixing.mix(awkward)
     assert got.count() == len(awkward_rows()) and mixing.mix(empty).count() == 0
@@ -253,7 +260,9 @@ def test_simhash_brute_force(docs, texts):
     assert table(got, "doc_id", "fingerprint", "component_id") == sorted(((d, f"{x:016x}", group[d]) for d, x in prints), key=repr)
 
 
-def test_links_of_dense_and_chained_fingerprints(spark, monkeypatch):
+@pytest.mark.parametrize("dealt", [1 << 20, 200])
+def test_links_of_dense_and_chained_fingerprints(spark, monkeypatch, dealt):
+    monkeypatch.setattr(simhash, "DEALT", dealt)
     monkeypatch.setattr(simhash, "PAIRS", 64)
     monkeypatch.setattr(simhash, "LEAVES", 50)
     rng = random.Random(11)
