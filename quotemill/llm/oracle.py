@@ -36,24 +36,24 @@ SELECT doc_id, size, source_size, target,
 
 
 def _quality() -> str:
-    words, chars = len(quality_rules.WORDS) + 1, 6
     limits = quality_rules.DEFAULT
     marks = quality_rules.PUNCTUATION.replace("'", "''")
     plain = quality_rules.PUNCTUATION_PLAIN.replace("'", "''")
-    bins = ", ".join(f"len(list_filter(folded, lambda x: x = '{w}'))" for w in quality_rules.WORDS)
-    known = ", ".join(f"'{w}'" for w in quality_rules.WORDS)
 
-    def distance(own: str, ref: str, size: int) -> str:
-        terms = " + ".join(
-            f"(CASE WHEN p{i} > 0 THEN p{i} * log2(p{i} / ((p{i} + q{i}) / 2)) ELSE 0 END + CASE WHEN q{i} > 0 THEN q{i} * log2(q{i} / ((p{i} + q{i}) / 2)) ELSE 0 END)"
-            for i in range(1, size + 1)
-        )
-        shares = ", ".join(f"{own}[{i}] / list_sum({own}) AS p{i}, {ref}[{i}] / list_sum({ref}) AS q{i}" for i in range(1, size + 1))
-        return f"(SELECT sqrt(greatest(0, ({terms}) / 2)) FROM (SELECT {shares}))"
+    def distance(own: str, ref: str) -> str:
+        pairs = f"list_zip(list_transform({own}, lambda x: x / list_sum({own})), list_transform({ref}, lambda x: x / list_sum({ref})))"
+        part = "CASE WHEN z[{i}] > 0 THEN z[{i}] * log2(z[{i}] / ((z[1] + z[2]) / 2)) ELSE 0 END"
+        terms = f"list_transform({pairs}, lambda z: {part.format(i=1)} + {part.format(i=2)})"
+        return f"sqrt(greatest(0, list_sum({terms}) / 2))"
 
     return rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 u AS (SELECT *, row_number() OVER () AS row_ FROM d),
+v AS (SELECT lang, lower(trim(x, '{plain}')) AS word, count(*) AS n FROM (SELECT lang, unnest(w) AS x FROM d WHERE lang IS NOT NULL) GROUP BY ALL),
+k AS (SELECT coalesce(list(DISTINCT word ORDER BY word), []) AS known
+      FROM (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place FROM v
+            WHERE regexp_matches(word, '\p{{L}}') AND lang IN (SELECT lang FROM v GROUP BY lang HAVING sum(n) >= {limits.least_reference}))
+      WHERE place <= {limits.common}),
 g AS (SELECT row_, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT row_, w, unnest(range(1, len(w) - 6)) AS i FROM u WHERE len(w) > 7)),
 a AS (SELECT row_, i FROM (SELECT *, count(*) OVER (PARTITION BY row_, g) AS n FROM g) WHERE n > 1),
 r AS (SELECT row_, sum(least(8, i - before)) AS n_repeat_words
@@ -65,16 +65,18 @@ c AS (SELECT u.*, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda
              coalesce(n_repeat_words, 0) AS n_repeat_words,
              length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS upper_, length(t) - length(regexp_replace(t, '\p{{L}}', '', 'g')) AS letters,
              length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS digits, length(t) - length(regexp_replace(t, '[{marks}]', '', 'g')) AS marks,
-             list_filter(list_transform(w, lambda x: lower(trim(x, '{plain}'))), lambda x: list_contains([{known}], x)) AS folded
-      FROM u LEFT JOIN r ON u.row_ = r.row_),
+             list_filter(list_transform(w, lambda x: lower(trim(x, '{plain}'))), lambda x: list_contains(known, x)) AS folded, known
+      FROM u CROSS JOIN k LEFT JOIN r ON u.row_ = r.row_),
 h AS (SELECT doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
              [upper_, letters - upper_, digits, length(t) - word_chars, marks, word_chars - letters - digits - marks] AS chars,
-             [{bins}, n_words - len(folded)] AS words FROM c),
-f AS (SELECT lang, {", ".join(f"sum(chars[{i}]) AS c{i}" for i in range(1, chars + 1))}, {", ".join(f"sum(words[{i}]) AS w{i}" for i in range(1, words + 1))}
-      FROM h WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {limits.least_reference}),
-e AS (SELECT list([{", ".join(f"c{i}" for i in range(1, chars + 1))}] ORDER BY lang) AS rc, list([{", ".join(f"w{i}" for i in range(1, words + 1))}] ORDER BY lang) AS rw FROM f),
-x AS (SELECT h.*, unnest(rc) AS rc, unnest(rw) AS rw FROM h, e WHERE n_words >= {limits.least_words}),
-y AS (SELECT doc_id, bool_or({distance("chars", "rc", chars)} <= {limits.chars} AND {distance("words", "rw", words)} <= {limits.words}) AS near FROM x GROUP BY doc_id),
+             list_append(list_transform(known, lambda y: len(list_filter(folded, lambda x: x = y))), n_words - len(folded)) AS words FROM c),
+f AS (SELECT lang FROM h WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {limits.least_reference}),
+s AS (SELECT lang, kind, i, sum(c) AS c
+      FROM (SELECT lang, 'chars' AS kind, unnest(chars) AS c, generate_subscripts(chars, 1) AS i FROM h SEMI JOIN f USING (lang)
+            UNION ALL SELECT lang, 'words', unnest(words), generate_subscripts(words, 1) FROM h SEMI JOIN f USING (lang)) GROUP BY ALL),
+e AS (SELECT lang, list(c ORDER BY i) FILTER (kind = 'chars') AS rc, list(c ORDER BY i) FILTER (kind = 'words') AS rw FROM s GROUP BY lang),
+x AS (SELECT h.*, rc, rw FROM h, e WHERE n_words >= {limits.least_words}),
+y AS (SELECT doc_id, bool_or({distance("chars", "rc")} <= {limits.chars} AND {distance("words", "rw")} <= {limits.words}) AS near FROM x GROUP BY doc_id),
 z AS (SELECT h.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, n_words < {limits.least_words} OR coalesce(near, false) AS near_ FROM h LEFT JOIN y ON h.doc_id = y.doc_id)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND near_ AS kept FROM z"""

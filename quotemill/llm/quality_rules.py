@@ -1,7 +1,8 @@
 """Quality rules: base counts, then distance of a text's histograms from language references.
 
-Two histograms describe a text: its characters by class and its words by common word of any language. A reference is
-the sum of these histograms over all documents of a language. The text is kept if for some language the Jensen-Shannon
+Two histograms describe a text: its characters by class and its words by common word of any language. The common words
+of a language are the most frequent ones of all its documents, so no language needs a list. A reference is the sum of
+these histograms over all documents of a language. The text is kept if for some language the Jensen-Shannon
 distances (base 2, from 0 to 1) of both stay within their limits. Texts below a least length are too short for
 such a test and pass it. Everything is SQL on built-in functions.
 """
@@ -10,21 +11,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANK, documents, written
 
 #: The six white-space characters of the word pattern.
 BLANKS = " \t\n\x0b\x0c\r"
-#: Frequent function words, by language.
-COMMON = {
-    "de": ("der", "die", "und", "das", "den", "zu"),
-    "en": ("the", "of", "and", "to", "in", "is"),
-    "es": ("el", "la", "de", "que", "y", "en"),
-    "fr": ("le", "la", "de", "et", "les", "des"),
-}
-WORDS = tuple(sorted({w for own in COMMON.values() for w in own}))
 PUNCTUATION = r""".,;:!?'"()\-"""
 PUNCTUATION_PLAIN = ".,;:!?'\"()-"
 WINDOW = 8
@@ -33,12 +26,13 @@ WINDOW = 8
 @dataclass(frozen=True)
 class Limits:
     """chars, words: largest distances of a kept text. least_words: shorter texts are not tested.
-    least_reference: words a language's reference needs to count."""
+    least_reference: words a language's reference needs to count. common: common words of a language."""
 
     chars: float = 0.28
     words: float = 0.26
     least_words: int = 50
     least_reference: int = 1000
+    common: int = 6
 
 
 DEFAULT = Limits()
@@ -80,8 +74,30 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     return F.when(F.size(words) > width, _let(hashes, of_hashes)).otherwise(F.lit(0).cast("long"))
 
 
-def _times(words: Column, word: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == word)).cast("long")
+def _words(text: Column) -> Column:
+    bare = F.btrim(text, F.lit(BLANKS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{BLANK}]+"))
+
+
+def _folded(word: Column) -> Column:
+    """A word as it is compared with common words: lower case, without marks around it."""
+    return F.lower(F.btrim(word, F.lit(PUNCTUATION_PLAIN)))
+
+
+def common_words(docs: DataFrame, limits: Limits = DEFAULT) -> list[str]:
+    """The most frequent words with a letter of each language of ``least_reference`` words or more, in one sorted list.
+
+    Every word of every document with a language is counted; ties go to the smaller word. Counts are summed in each task
+    before they are shuffled, and each partition passes on only words that can still be chosen, so a language that holds most
+    documents gathers nowhere. ``common`` words a language reach the driver. An empty table has none.
+    """
+    rows = documents(docs, "lang").where("lang IS NOT NULL AND text IS NOT NULL")
+    met = rows.select("lang", F.explode(_words(F.col("text"))).alias("w")).select("lang", _folded(F.col("w")).alias("word"))
+    counted = written(met.groupBy("lang", "word").agg(F.count("*").alias("n")), "quality-words")
+    large = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= limits.least_reference).select("lang")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    placed = counted.where(F.col("word").rlike(r"\p{L}")).join(large, "lang", "left_semi").withColumn("place", F.row_number().over(order))
+    return sorted({r["word"] for r in placed.where(F.col("place") <= limits.common).select("word").collect()})
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -89,16 +105,22 @@ def _without(text: Column, characters: str) -> Column:
     return F.length(F.regexp_replace(text, f"[{characters}]+", "")).cast("long")
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base counts, and the histograms chars and words (arrays of longs), one row per row."""
+def counts(docs: DataFrame, known: list[str]) -> DataFrame:
+    """doc_id, lang, the base counts, and the histograms chars and words (arrays of longs), one row per row.
+
+    words counts each of the ``known`` common words, then all others together.
+    """
     rows = documents(docs, "lang")
     text = F.coalesce("text", F.lit(""))
-    bare = F.btrim(text, F.lit(BLANKS))
-    words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{BLANK}]+"))
-    told = rows.select("doc_id", "lang", text.alias("t"), words.alias("w"))
+    told = rows.select("doc_id", "lang", text.alias("t"), _words(text).alias("w"))
     total = F.length("t").cast("long")
-    folded = F.transform("w", lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION_PLAIN))))
-    common = F.filter(folded, lambda w: w.isin(*WORDS))
+    common = F.filter(F.transform("w", _folded), lambda w: w.isin(*known))
+    listed = F.lit(known).cast("array<string>") if known else F.array().cast("array<string>")
+
+    def histogram(found: Column) -> Column:
+        each = F.transform(listed, lambda x: F.size(F.filter(found, lambda w: w == x)).cast("long"))
+        return F.concat(each, F.array((F.col("n_words") - F.size(found)).cast("long")))
+
     measured = told.select(
         "doc_id",
         "lang",
@@ -112,21 +134,20 @@ def counts(docs: DataFrame) -> DataFrame:
         (total - _without(F.col("t"), r"\p{L}")).alias("letters"),
         (total - _without(F.col("t"), "0-9")).alias("digits"),
         (total - _without(F.col("t"), PUNCTUATION)).alias("marks"),
-        _let(common, lambda c: F.array(*[_times(c, x) for x in WORDS], F.size(c).cast("long"))).alias("hits"),
+        common.alias("found"),
     )
     other = F.col("word_chars") - F.col("letters") - F.col("digits") - F.col("marks")
     chars = F.array("upper", F.col("letters") - F.col("upper"), "digits", F.col("total") - F.col("word_chars"), "marks", other)
-    size = len(WORDS)
-    word_bins = F.concat(F.slice("hits", 1, size), F.array(F.col("n_words") - F.element_at("hits", size + 1)))
-    return measured.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", chars.alias("chars"), word_bins.alias("words"))
+    words = _let(F.col("found"), histogram).alias("words")
+    return measured.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", chars.alias("chars"), words)
 
 
-def references(counted: DataFrame, limits: Limits = DEFAULT) -> list[tuple[str, list[int], list[int]]]:
+def references(counted: DataFrame, n_known: int, limits: Limits = DEFAULT) -> list[tuple[str, list[int], list[int]]]:
     """Language, character and word histograms, summed over all documents of the language; a row per language."""
     sums = counted.where("lang IS NOT NULL").groupBy("lang").agg(
         F.sum("n_words").alias("n"),
         F.array(*[F.sum(F.get("chars", F.lit(i))) for i in range(6)]).alias("chars"),
-        F.array(*[F.sum(F.get("words", F.lit(i))) for i in range(len(WORDS) + 1)]).alias("words"),
+        F.array(*[F.sum(F.get("words", F.lit(i))) for i in range(n_known + 1)]).alias("words"),
     )
     return [(r["lang"], r["chars"], r["words"]) for r in sums.where(F.col("n") >= limits.least_reference).orderBy("lang").collect()]
 
@@ -155,8 +176,9 @@ def judge(docs: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     A null text has no words and fails the base rules, as does any of fewer than 20 words. Without any reference the
     base rules alone decide. Repeated rows get equal results; an empty table gives no rows.
     """
-    counted = written(counts(docs), "quality-counts")
-    found = references(counted, limits)
+    known = common_words(docs, limits)
+    counted = written(counts(docs, known), "quality-counts")
+    found = references(counted, len(known), limits)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     fits = [
         F.struct(distance(F.col("chars"), chars).alias("jsd_chars"), distance(F.col("words"), words).alias("jsd_words"), F.lit(lang).alias("language"))
