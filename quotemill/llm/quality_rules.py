@@ -46,10 +46,17 @@ def _let(value: Column, use) -> Column:
 def repeated_words(words: Column, width: int = WINDOW) -> Column:
     """Words that lie in a window of ``width`` words found twice or more, the first one included.
 
-    Windows are compared by a 64-bit hash of their words' 64-bit hashes; a false match inside one text has a chance of
-    about the square of its words over 2^64.
+    Windows are compared by 64-bit hashes, those of twice the words made of two smaller ones; a false match inside one text
+    has a chance of about the square of its words over 2^64.
     """
 
+    def joined(h: Column, size: int, done: int = 1) -> Column:
+        step = min(done, size - done)
+        if not step:
+            return h
+        both = _let(h, lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) - step), F.slice(x, F.lit(step + 1), F.size(x) - step), lambda a, b: F.xxhash64(a, b)))
+        return joined(both, size, done + step)
+
     def covered(grams: Column) -> Column:
         placed = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
 
@@ -67,8 +74,7 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
         return _let(placed, lambda s: F.aggregate(starts(s), first, add, lambda acc: acc["n"]))
 
     def of_hashes(h: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(h) - (width - 1)), lambda i: F.xxhash64(F.slice(h, i, width)))
-        return _let(grams, lambda g: F.when(F.size(F.array_distinct(g)) < F.size(g), covered(g)).otherwise(F.lit(0).cast("long")))
+        return _let(joined(h, width), lambda g: F.when(F.size(F.array_distinct(g)) < F.size(g), covered(g)).otherwise(F.lit(0).cast("long")))
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     return F.when(F.size(words) > width, _let(hashes, of_hashes)).otherwise(F.lit(0).cast("long"))
