@@ -102,8 +102,9 @@ def common_words(docs: DataFrame, limits: Limits = DEFAULT) -> list[str]:
     counted = written(met.groupBy("lang", "word").agg(F.count("*").alias("n")), "quality-words")
     large = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= limits.least_reference).select("lang")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    placed = counted.where(F.col("word").rlike(r"\p{L}")).join(large, "lang", "left_semi").withColumn("place", F.row_number().over(order))
-    return sorted({r["word"] for r in placed.where(F.col("place") <= limits.common).select("word").collect()})
+    placed = counted.where(F.col("word").rlike(r"\p{L}")).withColumn("place", F.row_number().over(order)).where(F.col("place") <= limits.common)
+    # The few words left meet the languages last; a semi join would be moved below the window and bring all words to their language.
+    return sorted({r["word"] for r in placed.join(large, "lang").select("word").collect()})
 
 
 def _without(text: Column, characters: str) -> Column:
