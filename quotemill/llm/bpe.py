@@ -131,6 +131,7 @@ class _Known(dict):
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
+REMEMBERING.append(_CODECS)
 
 
 def codec(path: str, pattern: str) -> Codec:
@@ -138,10 +139,14 @@ def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _CODECS:
         with open(path, "rb") as file:
             _CODECS[path, pattern] = Codec(read_ranks(file.read()), pattern)
-        REMEMBERING.append(_CODECS[path, pattern].known)
     return _CODECS[path, pattern]
 
 
+def release_others() -> None:
+    """Let go of what other operators left in this worker. At module level, as a nested function would carry a copy of the codecs."""
+    release(_CODECS)
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit), one row per input row. A null text has no ids."""
     import pyarrow as pa
@@ -182,7 +187,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = codec(path, pattern)
-        release(both.known)
+        release_others()
         for batch in batches:
             counts, hashes, back = [], [], []
             for raw in texts_of(batch.column("text")):

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, spread, texts_of
+from .common import documents, release, spread, texts_of
 
 UNDETERMINED = "und"
 
@@ -137,6 +137,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], settings: Settings
     rows = documents(docs, *keep)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         sizer = Sizer(dictionaries, settings)
         for batch in batches:
             found = [sizer.judge(t) for t in texts_of(batch.column("text"))]
@@ -161,8 +162,11 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], settings: S
 
     @F.pandas_udf("boolean")
     def accepted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
         sizer = Sizer(dictionaries, settings)
         for texts in parts:
             yield texts.map(lambda t: not sizer.judge(None if t is None else t.encode())[2]).astype("bool")
+        del sizer
+        release()
 
     return docs.where(accepted(F.col("`text`").cast("string")))

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, shuffle_partitions, slices, spare, texts_of, written
+from .common import documents, release, shuffle_partitions, slices, spare, texts_of, written
 from .components import components
 
 WIDTH = 4
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     import pyarrow as pa
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = [fingerprint(t, width) for t in texts_of(batch.column("text"))]
             signed = pa.array(np.array(found, np.uint64).view(np.int64))
@@ -164,6 +165,7 @@ def links(distinct: DataFrame, budget: int = BUDGET, blocks: tuple[int, ...] = B
     dealt = dealt.repartition(parts, "c", "place")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held = list(batches)
         if not held:
             return
