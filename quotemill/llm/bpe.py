@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import REMEMBERING, documents, release, texts_of
 
-#: Pre-tokens whose ids a worker remembers; when full, it starts afresh. A matter of speed alone.
-REMEMBERED = 500_000
+#: Pre-tokens whose ids a worker remembers before it starts afresh; those it held until then stay as older ones, and go at the
+#: next start unless they were met again. A matter of speed and memory alone.
+REMEMBERED = 100_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -112,7 +113,7 @@ class Codec:
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known.age()
         return b"".join(map(self.known.__getitem__, self.split(text)))
 
     def decode(self, ids: bytes) -> bytes:
@@ -124,9 +125,17 @@ class _Known(dict):
 
     def __init__(self, codec: Codec):
         self.codec = codec
+        self.older: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = np.array(self.codec.merge(piece.encode()), "<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.codec.merge(piece.encode()), "<u4").tobytes()
+        self[piece] = ids
         return ids
 
 

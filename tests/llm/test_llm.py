@@ -466,6 +466,18 @@ def test_licenses_of_many_terms(spark):
     assert got == {1: 20_000, 2: 2, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0, 8: 1}
 
 
+def test_bpe_memory_of_a_worker_ages():
+    with open(queries.vocabulary("byte_bpe_50k.tiktoken"), "rb") as file:
+        codec = bpe.Codec(bpe.read_ranks(file.read()), queries.pattern())
+    want = codec.encode("some words met again, others once")
+    codec.known.age()
+    assert not codec.known and codec.encode("some words met again, others once") == want
+    codec.known.age()
+    codec.encode("some")
+    codec.known.age()
+    assert set(codec.known.older) == {"some"} and codec.encode("some words met again, others once") == want
+
+
 # --- quality rules ------------------------------------------------------------------------------
 
 
