@@ -21,7 +21,7 @@ from .common import REMEMBERING, documents, release, texts_of
 
 #: Pre-tokens whose ids a worker remembers before it starts afresh; those it held until then stay as older ones, and go at the
 #: next start unless they were met again. A matter of speed and memory alone.
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -45,6 +45,7 @@ class Codec:
         for token, rank in ranks.items():
             self.token[rank] = token
         self.known = _Known(self)
+        self.remembered = REMEMBERED
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -112,7 +113,7 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.age()
         return b"".join(map(self.known.__getitem__, self.split(text)))
 
@@ -186,16 +187,18 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, ids binary, raw binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded and its ids decoded again.
 
     Null and empty texts have no tokens and the hashes of no bytes. Rows that repeat give equal results; an empty
-    table gives no rows; a very long pre-token costs in proportion to its length.
+    table gives no rows; a very long pre-token costs in proportion to its length. A worker remembers the ids of up to
+    twice ``remembered`` pre-tokens, which changes speed and memory, never a result.
     """
     import pyarrow as pa
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = codec(path, pattern)
+        both.remembered = remembered
         release_others()
         for batch in batches:
             counts, hashes, back = [], [], []
