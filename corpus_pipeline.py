@@ -36,7 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row: tokens and the hashes of its ids and of what they decode to."""
-    return bpe.round_trip(docs, vocabulary("byte_bpe_50k.tiktoken"), pattern())
+    # Executors still hold what the stages before gathered, so workers remember fewer pre-tokens than by themselves.
+    return bpe.round_trip(docs, vocabulary("byte_bpe_50k.tiktoken"), pattern(), remembered=100_000)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
