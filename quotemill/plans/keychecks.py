@@ -44,11 +44,15 @@ def count_keys(fact: DataFrame, primary: Sequence[str] = STOCK_KEYS, foreign: Se
     """key_name, key, n_rows by month of a fact with its month column.
 
     Of each foreign key the rows that carry it; one row more tells how many primary keys of the month repeat, which is
-    all there is to know, as the primary key has the day in it. Both are counted before the shuffle.
+    all there is to know, as the primary key has the day in it. Both are counted before the shuffle, each foreign key by
+    itself, because one aggregation over all of them holds three rows for every row of the fact, names included.
     """
-    pairs = F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("long").alias("key")) for k in foreign])
-    used = fact.select(MONTH, F.explode(pairs).alias("k")).select(MONTH, "k.*").where("key IS NOT NULL")
-    used = used.groupBy(MONTH, "key_name", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = []
+    for k in foreign:
+        own = fact.select(MONTH, F.col(k).cast("long").alias("key")).where("key IS NOT NULL")
+        own = own.groupBy(MONTH, "key").agg(F.count(F.lit(1)).alias("n_rows"))
+        counted.append(own.select(MONTH, F.lit(k).alias("key_name"), "key", "n_rows"))
+    used = reduce(DataFrame.unionByName, counted)
     one = fact.groupBy(MONTH, *primary).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = one.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n_rows"))
     return used.unionByName(repeated.select(MONTH, F.lit(REPEATED).alias("key_name"), F.lit(None).cast("long").alias("key"), "n_rows"))

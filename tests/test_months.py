@@ -284,3 +284,18 @@ def test_periods_have_open_ends(spark):
     days = spark.createDataFrame([(y,) for y in (1970, 1994, 1997, 1998, 2001, 2002, 2050)], "financial_year int")
     inside = [[r[0] for r in days.where(inputs._in_period(F.col("financial_year"), p, "int")).collect()] for p in inputs.PERIODS]
     assert inside == [[1970, 1994], [1997, 1998], [2001, 2002, 2050]]
+
+
+def test_each_foreign_key_is_counted_by_itself(spark):
+    fact = spark.createDataFrame(
+        [(202405, 20240502, 1, 7), (202405, 20240502, 1, 7), (202405, 20240503, 2, None)], "yyyymm int, DateKey int, CompanyKey long, TickerKey long"
+    )
+    counts = keychecks.count_keys(fact)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and counts.columns == ["yyyymm", "key_name", "key", "n_rows"]
+    assert rows(counts.select("key_name", "key", "n_rows")) == rows(
+        spark.createDataFrame(
+            [("DateKey", 20240502, 2), ("DateKey", 20240503, 1), ("CompanyKey", 1, 2), ("CompanyKey", 2, 1), ("TickerKey", 7, 2), ("primary key", None, 1)],
+            "a string, b long, c long",
+        )
+    )
