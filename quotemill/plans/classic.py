@@ -17,7 +17,7 @@ from ..operators.joins import lookup_join
 from ..operators.windows import growth, rolling_mean
 from ..session import pinned
 from .analytics import LIST_SIZE, ROLLING_ROWS, TOP_RANK, ratio, top
-from .silver import SECTOR_PLACEHOLDER, company_key, dim_date, dim_ticker, ticker_key
+from .silver import FACT_COLUMNS, SECTOR_PLACEHOLDER, company_key, dim_date, dim_ticker, ticker_key
 
 MONEY = "decimal(19,2)"
 
@@ -43,8 +43,8 @@ def star(companies: DataFrame, stocks: DataFrame, keys: str = "xxhash64") -> dic
         money("market_value_in_millions", "MarketValue"),
     )
     listed = companies.select(F.col("ticker").alias("ticker_symbol"), company_key(keys).alias("CompanyKey"))
-    quotes = stocks.select(
-        "ticker_symbol",
+    # Keys and decimals are computed after the join, which then moves shorter rows.
+    fact = lookup_join(stocks.select(*FACT_COLUMNS), listed.distinct(), ["ticker_symbol"]).select(
         date_key("trading_day").alias("DateKey"),
         ticker_key(keys).alias("TickerKey"),
         money("open_price", "OpenPrice"),
@@ -53,6 +53,7 @@ def star(companies: DataFrame, stocks: DataFrame, keys: str = "xxhash64") -> dic
         money("low_price", "LowPrice"),
         money("market_cap", "MarketCap"),
         (F.coalesce("dividend", F.lit(0.0)) > 0).alias("Dividend"),
+        "CompanyKey",
     )
     return {
         "DimCompany": company,
@@ -60,7 +61,7 @@ def star(companies: DataFrame, stocks: DataFrame, keys: str = "xxhash64") -> dic
             "DateKey", F.col("TradingDate").alias("TradingDay"), "Year", "Month", "Day"
         ),
         "DimTicker": dim_ticker(stocks, keys, distinct=True).drop("Sector").distinct(),
-        "FactStock": lookup_join(quotes, listed.distinct(), ["ticker_symbol"]).drop("ticker_symbol"),
+        "FactStock": fact,
     }
 
 

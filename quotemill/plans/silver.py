@@ -15,6 +15,11 @@ VERSION = "_ingested_at"
 SECTOR_PLACEHOLDER = "sector"
 TICKER_CLASS = "Equity"
 
+# What the fact takes from a quote.
+FACT_COLUMNS = (
+    "ticker_symbol", "exchange", "trading_day", "open_price", "close_price", "high_price", "low_price", "market_cap", "dividend",
+)
+
 
 def companies_view(raw: DataFrame, rank_only: bool = False) -> DataFrame:
     """Last version per rank and year, then last per company, headquarters and year.
@@ -27,7 +32,7 @@ def companies_view(raw: DataFrame, rank_only: bool = False) -> DataFrame:
 
 def stocks_view(raw: DataFrame) -> DataFrame:
     """Last version per ticker and run; one pass serves both dedups, which share their key."""
-    return last_version(raw, ["ticker_symbol", "execution_date_utc"], [VERSION]).drop(VERSION)
+    return last_version(raw, ["ticker_symbol", "execution_date_utc"], [VERSION], mostly_once=True).drop(VERSION)
 
 
 def company_key(method: str, company: str = "company", headquarters: str = "headquarters") -> Column:
@@ -141,9 +146,11 @@ def fact_stock(
     def measure(column: str, name: str) -> Column:
         return F.coalesce(F.col(column).cast("double"), F.lit(0.0)).alias(name)
 
-    quotes = stocks.where(F.col("ticker_symbol").isNotNull()).select(
-        "ticker_symbol",
+    # Keys are computed after the join, which then moves shorter rows.
+    quotes = stocks.where(F.col("ticker_symbol").isNotNull()).select(*FACT_COLUMNS)
+    return lookup_join(quotes, listed, ["ticker_symbol"]).select(
         date_key("trading_day").alias("DateKey"),
+        "CompanyKey",
         ticker_key(keys).alias("TickerKey"),
         F.col("trading_day").alias("TradingDate"),
         measure("open_price", "OpenPrice"),
@@ -153,7 +160,3 @@ def fact_stock(
         measure("market_cap", "MarketCap"),
         measure("dividend", "Dividend"),
     )
-    return lookup_join(quotes, listed, ["ticker_symbol"]).select(
-        "DateKey", "CompanyKey", "TickerKey", "TradingDate",
-        "OpenPrice", "ClosePrice", "HighPrice", "LowPrice", "MarketCap", "Dividend",
-    )

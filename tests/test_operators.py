@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from quotemill.functions import masking as M
 from quotemill.operators import dedup, joins, masking, quality as Q, scd2, sinks, upsert, windows
+from quotemill.plans import classic, silver
+from quotemill.session import pinned
 
 
 # --- dedup --------------------------------------------------------------------------------------
@@ -28,6 +30,30 @@ def test_last_version_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+@pytest.mark.parametrize("told", [1_000_000, 0])
+def test_keys_that_mostly_come_once(spark, monkeypatch, told):
+    """Rows of keys that come once stay where they are; with NULL keys, equal rows and too many repeats the outcome is the same."""
+    monkeypatch.setattr(dedup, "TOLD_KEYS", told)
+    data = [(k, k, "x") for k in range(50)] + [(3, 9, "a"), (3, 9, "b"), (3, 9, "b"), (None, 1, "n"), (None, 2, "n"), (7, None, "z")]
+    df = spark.createDataFrame(data, "k int, v int, x string").repartition(3)
+    last = dedup.last_version(df, ["k"], ["v"], mostly_once=True)
+    first = dedup.keep_first(df, ["k"], ["v", "x"], mostly_once=True)
+    assert rows(last) == rows(dedup.last_version(df, ["k"], ["v"])) and len(rows(last)) == 51
+    assert rows(first) == rows(dedup.keep_first(df, ["k"], ["v", "x"]))
+    assert ("_hash" in last._jdf.queryExecution().analyzed().toString()) == bool(told)
+    single = spark.range(10).selectExpr("id AS k", "id AS v")
+    assert "Window" not in dedup.last_version(single, ["k"], ["v"], mostly_once=True)._jdf.queryExecution().analyzed().toString()
+
+
+def test_views_of_quotes_move_only_repeated_ones(spark):
+    quotes = spark.createDataFrame([("A", 1, 1, 2.0), ("A", 1, 2, 3.0), ("B", 1, 1, 4.0)], "ticker_symbol string, t int, i int, close_price double")
+    at = {"execution_date_utc": F.timestamp_seconds("t"), "_ingested_at": F.timestamp_seconds("i")}
+    view = silver.stocks_view(quotes.withColumns(at).drop("t", "i"))
+    plan = view._jdf.queryExecution().analyzed().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert rows(view.select("ticker_symbol", "close_price")) == [("A", 3.0), ("B", 4.0)]
+
+
 def test_keep_first_and_first_rows(spark):
     df = spark.createDataFrame([("A", 3), ("A", 1), ("B", 2), (None, 4)], "t string, r int")
     assert rows(dedup.keep_first(df, ["t"], ["r"])) == [("A", 1), ("B", 2), (None, 4)]
@@ -343,3 +369,29 @@ def test_no_rare_group_stays_visible(spark):
     masked = masking.mask_rare(df, "c", "m")
     visible = {r.m: r["count"] for r in masked.groupBy("m").count().collect()}
     assert visible == {"a": 12, "c": 10, "Other": 10}
+
+
+# --- what is moved ------------------------------------------------------------------------------
+
+
+def _quotes(spark):
+    """Two quotes of one company, one of a ticker that no company has."""
+    data = [("A", "X", date(2024, 5, 2), 1.5), ("A", None, date(2024, 5, 3), None), ("B", "X", date(2024, 5, 2), 2.0)]
+    stocks = spark.createDataFrame(data, "ticker_symbol string, exchange string, trading_day date, open_price double")
+    price = F.col("open_price")
+    names = ("close_price", "high_price", "low_price", "market_cap", "dividend")
+    companies = spark.createDataFrame(
+        [("A Inc", "US", "A", 1, "Bank", 1.0, 1.0, 1.0, 1.0)],
+        "company string, headquarters string, ticker string, rank int, industry string, sales_in_millions double, "
+        "profit_in_millions double, assets_in_millions double, market_value_in_millions double",
+    )
+    return stocks.withColumns({n: price for n in names} | {"currency": F.lit("USD"), "sector": F.lit("s")}), companies
+
+
+def test_fact_keys_are_computed_after_the_join(spark):
+    stocks, companies = _quotes(spark)
+    for fact in (silver.fact_stock(stocks, companies, "md5"), classic.star(companies, stocks, "md5")["FactStock"]):
+        plan = fact._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Join") :]
+        assert "TickerKey" in plan and "DateKey" in plan and "TickerKey" not in below and "DateKey" not in below
+        assert [r[0] for r in rows(fact.select("DateKey", "OpenPrice"))] == [20240502, 20240503]
