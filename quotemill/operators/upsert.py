@@ -21,10 +21,10 @@ def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def insert_absent(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], mostly_once: bool = False
 ) -> DataFrame:
     """Batch rows to insert: the first of each key, unless the target already holds the key."""
-    fresh = keep_first(batch, keys, order)
+    fresh = keep_first(batch, keys, order, mostly_once)
     return lookup_join(fresh, _keys_of(target, keys), keys, "left_anti", unique=True)
 
 
@@ -155,22 +155,24 @@ def append_absent_months(
     order: Sequence[str],
     target_exists: bool = True,
     doubtful: Column | None = None,
+    written: bool = False,
 ) -> list[int] | None:
     """Append the batch's rows whose key is not stored yet, reading only the batch's months.
 
     ``doubtful`` holds for the rows whose key may be stored; the others are known to be new, each key once, and are
-    appended without a look at the table. Returns the months that were read, or None for a table that was new.
+    appended without a look at the table. ``written`` says that the batch is read from files, so that it need not be written
+    to be used twice. Returns the months that were read, or None for a table that was new.
     """
     months = None
     if target_exists:
-        batch = pinned(batch, "batch")
+        batch = batch if written else pinned(batch, "batch")
         asked, new = (batch, None) if doubtful is None else (batch.where(doubtful), batch.where(~doubtful))
         months = months_of(asked, day)
         if months or new is None:
             stored = read_months(spark, path, months, batch.schema)
-            asked = insert_absent(stored, asked, keys, order)
+            asked = insert_absent(stored, asked, keys, order, mostly_once=True)
             batch = asked if new is None else asked.unionByName(new)
     else:
-        batch = keep_first(batch, keys, order)
+        batch = keep_first(batch, keys, order, mostly_once=True)
     with_month(batch, day).hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
     return months

@@ -150,6 +150,6 @@ def load_quotes(wh: Warehouse, feed: DataFrame, as_of: str, companies: DataFrame
         taken = quotes.count()
         counts |= {LOADED: counts[QUOTED] - taken, QUOTED: taken}
     append_absent_months(
-        spark, path, quotes, ["ticker_symbol", "execution_date_utc"], "execution_date_utc", ["_ingested_at", *STOCKS_RAW.names[:-1]], exists
+        spark, path, quotes, ["ticker_symbol", "execution_date_utc"], "execution_date_utc", ["_ingested_at", *STOCKS_RAW.names[:-1]], exists, written=exists
     )
     return Outcomes(found.rows, counts)

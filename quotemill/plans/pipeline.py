@@ -75,6 +75,7 @@ def load_bronze(run: Run, companies: DataFrame, stocks: DataFrame) -> Taken:
             "execution_date_utc",
             order,
             target_exists=exists,
+            written=exists,
         )
         if not exists:
             return Taken()

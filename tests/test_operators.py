@@ -220,6 +220,15 @@ def test_month_upsert_rewrites_only_touched_months(spark, path):
     assert "PartitionFilters: [isnotnull(yyyymm" in plan
 
 
+def test_a_written_batch_is_not_written_again(spark, path, monkeypatch):
+    batch = pinned(spark.createDataFrame([("a", date(2024, 1, 5), 1), ("b", date(2024, 1, 6), 2)], "k string, day date, v int"), "own")
+    upsert.append_absent_months(spark, path, batch.where("k = 'a'"), ["day", "k"], "day", ["v"], target_exists=False)
+    labels = []
+    monkeypatch.setattr(upsert, "pinned", lambda df, label: labels.append(label) or df)
+    assert upsert.append_absent_months(spark, path, batch, ["day", "k"], "day", ["v"], written=True) == [202401]
+    assert labels == [] and rows(upsert.read_months(spark, path).select("k", "v")) == [("a", 1), ("b", 2)]
+
+
 def test_append_absent_months(spark, path):
     schema = "day date, k int, v string"
     frame = lambda *r: spark.createDataFrame(r, schema)
