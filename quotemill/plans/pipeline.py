@@ -180,13 +180,17 @@ def build_marts(run: Run, companies: DataFrame, stocks: DataFrame) -> list[int]:
 
     def fact() -> list[int]:
         table = wh.months("gold", "FactStock")
-        # One row per key: the last quote of a ticker's day.
-        daily = last_version(stocks, ["ticker_symbol", "exchange", "trading_day"], ["execution_date_utc"])
+        # One row per key: the last quote of a ticker's day. A ticker has one quote of a time, so there are no ties to
+        # settle and columns that the fact does not have need not be moved.
+        daily = last_version(
+            stocks.select(*silver.FACT_COLUMNS, "execution_date_utc"), ["ticker_symbol", "exchange", "trading_day"],
+            ["execution_date_utc"], mostly_once=True,
+        )
         batch = silver.fact_stock(daily, companies, run.keys)
         if not table.exists():
             table.replace(batch)
             return list(table.locations())
-        stored = table.read(months_of(daily, "trading_day")).select(*DAY_KEYS, "CompanyKey")
+        stored = table.read(months_of(stocks, "trading_day")).select(*DAY_KEYS, "CompanyKey")
         return table.delete_insert(under_stored_companies(batch, stored), STOCK_KEYS)
 
     def dates() -> None:
